@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from guestlens import schemas
 from guestlens.catalog import views
-from guestlens.catalog.views import CITY, HOTEL, TEXT_CITY, table
+from guestlens.catalog.views import CITY, HOTEL, TEXT_CITY, documents, table
 from guestlens.functions import labels, text
 from guestlens.operators import (
     browse,
@@ -27,7 +27,7 @@ from guestlens.operators import (
     words,
 )
 from guestlens.plans import compare, etl, recommend
-from guestlens.session import new_path
+from guestlens.session import materialize, new_path
 from guestlens.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,7 +130,7 @@ def month_stayed(spark, sf):
 @query
 def clean_text(spark, sf):
     clean = text.clean_text(F.col("text"))
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("doc_id").alias("comment_id"),
         F.length(clean).cast("bigint").alias("clean_chars"),
         F.md5(clean).alias("clean_md5"),
@@ -150,19 +150,19 @@ def review_text(spark, sf):
 
 @query
 def language_detect(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs = documents(spark, sf).select("doc_id", "text", "lang")
     return language.with_language(docs, "text").select("doc_id", "lang", "language")
 
 
 @query
 def english_only(spark, sf):
-    docs = language.with_language(table(spark, sf, "documents"), "text")
+    docs = language.with_language(documents(spark, sf), "text")
     return language.keep_language(docs).select("doc_id", "source", "lang")
 
 
 @query
 def english_or_unknown(spark, sf):
-    docs = language.with_language(table(spark, sf, "documents"), "text")
+    docs = language.with_language(documents(spark, sf), "text")
     return language.keep_language(docs, keep_unknown=True).select("doc_id", "source", "lang")
 
 
@@ -301,32 +301,31 @@ def hotel_cards(spark, sf):
 
 @query
 def word_freq(spark, sf):
-    counts = words.word_counts(table(spark, sf, "documents"), "text")
+    counts = words.word_counts(documents(spark, sf), "text")
     return words.top_words(counts)
 
 
 @query
 def word_freq_by_source(spark, sf):
-    counts = words.word_counts(table(spark, sf, "documents"), "text", ["source"])
+    counts = words.word_counts(documents(spark, sf), "text", ["source"])
     slug = text.file_slug(F.concat(F.lit("(wordcloud) "), "source")).alias("file")
     return words.top_words(counts, ["source"], 100).select(slug, "word", "n")
 
 
 @query
 def word_plurals(spark, sf):
-    counts = words.word_counts(table(spark, sf, "documents"), "text", ["lang"])
-    return words.fold_plurals(counts, ["lang"])
+    return words.folded_counts(documents(spark, sf), "text", ["lang"])
 
 
 @query
 def word_pairs(spark, sf):
-    pairs = words.collocations(table(spark, sf, "documents"), "text")
+    pairs = words.collocations(documents(spark, sf), "text")
     return pairs.withColumn("score", F.round("score", 4))
 
 
 @query
 def cloud_terms(spark, sf):
-    return words.cloud_terms(table(spark, sf, "documents"), "text", ["lang"], k=200)
+    return words.cloud_terms(documents(spark, sf), "text", ["lang"], k=200)
 
 
 # Reports
@@ -387,7 +386,8 @@ def city_table(spark, sf):
 
 
 def _text_rows(spark, sf):
-    return views.text_reviews(spark, sf)
+    """The clean review table, landed once for training and scoring."""
+    return materialize(views.text_reviews(spark, sf), "reviews")
 
 
 @query
@@ -403,15 +403,14 @@ def nb_train(spark, sf):
     return weights.select("term", *[six(c).alias(c) for c in sentiment.LABEL_ORDER])
 
 
-def _model_input(spark, sf):
-    """(model rows of the city, model for the city) of the text reviews."""
-    return sampling.split_by_city(_text_rows(spark, sf), TEXT_CITY)[1].na.drop()
+def _model_input(reviews):
+    return sampling.split_by_city(reviews, TEXT_CITY)[1].na.drop()
 
 
 @query
 def nb_predict(spark, sf):
-    model = recommend.train_for_city(_text_rows(spark, sf), TEXT_CITY)
-    scored = sentiment.score(model, _model_input(spark, sf))
+    reviews = _text_rows(spark, sf)
+    scored = sentiment.score(recommend.train_for_city(reviews, TEXT_CITY), _model_input(reviews))
     raw = vector_to_array("rawPrediction")
     return scored.select(
         "comment_id", "review", "reviewIndexed", "prediction", "predicted_review_label",
@@ -421,8 +420,9 @@ def nb_predict(spark, sf):
 
 def _predict(kind: str, **options) -> Query:
     def run(spark, sf):
-        model = recommend.train_for_city(_text_rows(spark, sf), TEXT_CITY, kind, **options)
-        return sentiment.score(model, _model_input(spark, sf)).select(
+        reviews = _text_rows(spark, sf)
+        model = recommend.train_for_city(reviews, TEXT_CITY, kind, **options)
+        return sentiment.score(model, _model_input(reviews)).select(
             "comment_id", "review", "reviewIndexed", "prediction", "predicted_review_label"
         )
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from guestlens.functions import labels, text
 from guestlens.plans.etl import flat_offerings, nan_to_null
 from guestlens.schemas import ADDRESS, AUTHOR, RATINGS
-from guestlens.sources.readers import read_table
+from guestlens.sources.readers import read_table, spread
 
 CITY, HOTEL, TEXT_CITY = "NATION_7", "Customer#000000007", "city0"
 
@@ -22,6 +22,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents"))
+
+
 def _month_year(ts: str):
     return F.date_format(ts, "MMMM yyyy")
 
@@ -117,7 +121,7 @@ def document_reviews_raw(spark: SparkSession, sf: str) -> DataFrame:
     overall = F.when(F.col("quality") == 1, 4.0).when(F.col("quality") == 0, 2.0)
     ratings = F.struct(overall.alias("overall"), *[F.lit(None).cast("double").alias(c) for c in RATINGS.fieldNames()[1:]])
     author = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in AUTHOR.fields])
-    rated = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    rated = documents(spark, sf).join(table(spark, sf, "labels"), "doc_id", "left")
     return rated.select(
         ratings.alias("ratings"),
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
@@ -149,7 +153,7 @@ def sources_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_reviews(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as clean reviews; the label is NULL where none is given."""
-    rated = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    rated = documents(spark, sf).join(table(spark, sf, "labels"), "doc_id", "left")
     overall = F.when(F.col("quality") == 1, 4.0).when(F.col("quality") == 0, 2.0)
     title = F.split_part("text", F.lit("\n"), F.lit(1))
     return rated.select(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,8 +29,8 @@ def label_from_rating(overall: Column) -> Column:
 
 
 def lookup(c: Column, table: dict) -> Column:
-    """A small fixed enumeration as a map literal; unknown keys give NULL."""
-    return F.try_element_at(F.create_map(*map(F.lit, chain(*table.items()))), c)
+    """A small fixed enumeration; unknown keys give NULL."""
+    return F.coalesce(*[F.when(c == key, F.lit(value)) for key, value in table.items()])
 
 
 def city_name(choice: Column) -> Column:

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key counts as hot from this share of all rows up, so there are at most
-# 1 / HOT_SHARE hot keys however large the data is.
-HOT_SHARE = 0.001
+# The groups treated as hot are the largest ones, this many at most; any other
+# group holds less than 1 / HOT_GROUPS of the rows. Rows of hot groups are
+# spread over SALTS keys.
+HOT_GROUPS = 1024
 SALTS = 1024
 
 
@@ -22,37 +23,52 @@ def merge_reviews_offerings(reviews: DataFrame, offerings: DataFrame, key: str =
 
 
 def keep_listed(df: DataFrame, ids: DataFrame, key: str = "comment_id") -> DataFrame:
-    """Rows whose id is listed; a repeated id in the list multiplies nothing."""
-    return df.join(ids.select(key), key, "left_semi")
+    """Rows whose id is listed. Repeated ids in the list multiply nothing and
+    are folded before the shuffle."""
+    return df.join(ids.select(key).distinct(), key, "left_semi")
+
+
+def join_totals(
+    rows: DataFrame, totals: DataFrame, key: str, names: list[str], size: str, how: str = "inner"
+) -> DataFrame:
+    """Join a table of one row per key back to its rows, safe for hot keys.
+
+    A window would pull a whole group into one task, and AQE cannot split a
+    skewed join against an aggregate. So the join is made twice: the totals of
+    the ``HOT_GROUPS`` largest groups by ``size`` are broadcast, that many rows
+    at most; then all totals are joined by key, where rows of hot groups carry
+    a salt that spreads them out and matches nothing.
+    """
+    columns = rows.columns
+    packed = F.struct(size, *names)
+    hot = totals.orderBy(F.desc(size), key).limit(HOT_GROUPS).select(key, packed.alias("_hot"))
+    every = totals.select(key, F.lit(0).alias("_salt"), packed.alias("_every"))
+    spread = 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(SALTS)).cast("int")
+    salted = rows.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(spread)
+    )
+    joined = salted.join(every, [key, "_salt"], "left").withColumn("_found", F.coalesce("_hot", "_every"))
+    if how == "inner":
+        joined = joined.where(F.col("_found").isNotNull())
+    return joined.select(*[F.col(f"`{c}`") for c in columns], *[F.col(f"_found.{n}").alias(n) for n in names])
 
 
 def join_predictions(reviews: DataFrame, predictions: DataFrame, key: str = "comment_id") -> DataFrame:
-    """Attach one prediction per review id."""
-    rest = [c for c in predictions.columns if c not in (key, *reviews.columns)]
-    best = predictions.groupBy(key).agg(F.min(F.struct(*rest)).alias("_p"))
-    return reviews.join(best, key).select(*reviews.columns, *[F.col(f"_p.{c}").alias(c) for c in rest])
+    """Attach one prediction per review id, whatever repeats on either side."""
+    names = [c for c in predictions.columns if c not in (key, *reviews.columns)]
+    best = (
+        predictions.groupBy(key)
+        .agg(F.min(F.struct(*names)).alias("_p"), F.count("*").alias("_rows"))
+        .select(key, "_rows", "_p.*")
+    )
+    return join_totals(reviews, best, key, names, "_rows")
 
 
 def with_group_totals(df: DataFrame, key: str, totals: dict[str, Column]) -> DataFrame:
     """Each row with aggregates of its group: the map or merge of a group-by.
 
-    A window would pull a whole group into one task. Here the totals are
-    aggregated map-side first, then joined back in two ways. Totals of hot
-    groups, at most ``1 / HOT_SHARE`` rows by definition, are broadcast; their
-    rows leave the second join spread over ``SALTS`` keys that match nothing.
-    All other totals are joined by key. Rows without a key are dropped.
+    Rows without a key are dropped.
     """
     rows = df.where(F.col(key).isNotNull())
     grouped = rows.groupBy(key).agg(F.count("*").alias("_rows"), *[c.alias(n) for n, c in totals.items()])
-    hot_from = grouped.select(F.sum("_rows") * HOT_SHARE).scalar()
-    hot = grouped.where(F.col("_rows") >= hot_from)
-    cold = grouped.where(F.col("_rows") < hot_from)
-
-    hot = F.broadcast(hot.select(key, F.struct(*totals).alias("_hot")))
-    cold = cold.select(key, F.lit(0).alias("_salt"), F.struct(*totals).alias("_cold"))
-    salt = F.when(F.col("_hot").isNull(), 0).otherwise(
-        1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int")
-    )
-    joined = rows.join(hot, key, "left").withColumn("_salt", salt).join(cold, [key, "_salt"], "left")
-    picked = F.coalesce("_hot", "_cold")
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[picked[n].alias(n) for n in totals])
+    return join_totals(rows, grouped, key, list(totals), "_rows")

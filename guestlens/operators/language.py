@@ -1,15 +1,11 @@
-"""Language detection from function-word profiles, without a shuffle."""
+"""Language column and filter; rows are scored where they are read."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guestlens.functions.vocabulary import default_profiles
-
-
-def _hits(words: Column, profile: list[str]) -> Column:
-    return F.size(F.filter(words, lambda w: w.isin(profile)))
+from guestlens.functions.language import detect_language
 
 
 def with_language(
@@ -19,34 +15,15 @@ def with_language(
     profiles: dict[str, list[str]] | None = None,
     min_confidence: float = 0.5,
 ) -> DataFrame:
-    """Add the language of a text column, or NULL if unsure.
-
-    Every word found in a profile is a hit for that language; the confidence of
-    a language is its share of all hits. The language whose share is above
-    ``min_confidence`` wins, and from a half up there is at most one. Rows are
-    scored where they are read: word lists are literals in the plan and nothing
-    is exploded, joined or shuffled.
-    """
-    if not 0.5 <= min_confidence < 1:
-        raise ValueError("min_confidence must be in [0.5, 1)")
-    profiles = profiles or default_profiles()
-    known = sorted(set().union(*profiles.values()))
+    """Add the language of a text column; nothing is exploded, joined or shuffled."""
+    return df.withColumn(output, detect_language(F.col(text), profiles, min_confidence))
 
-    words = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}]+"), lambda w: w.isin(known))
-    hits = [_hits(F.col("_words"), profile).alias(lang) for lang, profile in profiles.items()]
-    total = sum((F.col(f"_hits.{lang}") for lang in profiles), F.lit(0))
-    winner = F.coalesce(*[
-        F.when(F.col(f"_hits.{lang}") > F.lit(min_confidence) * total, lang) for lang in profiles
-    ])
-    return (
-        df.withColumn("_words", words)
-        .withColumn("_hits", F.struct(*hits))
-        .withColumn(output, winner)
-        .drop("_words", "_hits")
-    )
 
-
-def keep_language(df: DataFrame, language: str = "en", keep_unknown: bool = False, column: str = "language") -> DataFrame:
+def keep_language(
+    df: DataFrame, language: str = "en", keep_unknown: bool = False, column: str = "language"
+) -> DataFrame:
     """Rows in one language. Unsure rows go, unless ``keep_unknown``."""
-    wanted = F.col(column) == language
-    return df.where(wanted | F.col(column).isNull() if keep_unknown else wanted)
+    found = F.col(column)
+    if keep_unknown:
+        found = F.coalesce(found, F.lit(language))
+    return df.where(found == language)

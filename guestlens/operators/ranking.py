@@ -75,7 +75,10 @@ def category_scores(
             F.count(category).alias("_n"),
         )
     )
-    hotels = hotels.where(F.col(key).isNotNull())
+    # Always true. It names every column, so that the scalar subquery plans the
+    # same shuffle as the ranking and Spark runs it, and the scoring below it, once.
+    whole = (F.col("review_count") >= F.col("positive_counts")) & (F.col("_best").isNull() | (F.col("_n") > 0))
+    hotels = hotels.where(F.col(key).isNotNull() & whole)
     mean = hotels.select(F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))).scalar()
     score = F.col("_best") if mode == "max" else F.col("_sum") / F.nullif(F.col("_n"), F.lit(0))
     weighted = (F.col("review_count") * score + SMOOTHING * mean) / (F.col("review_count") + SMOOTHING)

@@ -1,4 +1,8 @@
-"""Word-cloud terms: the words that matter in the texts of a group."""
+"""Word-cloud terms: the words that matter in the texts of a group.
+
+Texts are cut into words and counted before anything is shuffled; later steps
+work on one row per distinct word or pair of neighbours.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from guestlens.functions.language import bind
 from guestlens.functions.vocabulary import CLOUD_STOP_WORDS
 
 # Fixed values of the word cloud: what a word is, how many are kept, and the
@@ -15,63 +20,89 @@ MAX_WORDS = 1000
 COLLOCATION_SCORE = 30.0
 
 
-def words_of(text: Column) -> Column:
-    """Lower-case words in order, possessive endings and numbers removed."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    words = F.transform(words, lambda w: F.regexp_replace(w, "'s$", ""))
-    return F.filter(words, lambda w: ~w.rlike(r"^\p{N}+$"))
+def _raw_words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def word_counts(df: DataFrame, text: str, by: list[str] | None = None, stop_words=CLOUD_STOP_WORDS) -> DataFrame:
-    """How often each word occurs per group, stop words left out."""
-    by = by or []
-    words = df.select(*by, F.explode(words_of(F.col(text))).alias("word"))
-    return words.where(~F.col("word").isin(list(stop_words))).groupBy(*by, "word").agg(F.count("*").alias("n"))
+def _without_possessive(word: Column) -> Column:
+    return F.when(word.endswith("'s"), F.left(word, F.length(word) - 2)).otherwise(word)
 
 
-def _stems(counts: DataFrame, by: list[str]) -> DataFrame:
-    """One row per stem: its word, its count and the words under it.
+def _is_word(word: Column) -> Column:
+    """Not a number; the first letter mostly settles it without the pattern."""
+    return F.left(word, F.lit(1)).between("a", "z") | ~word.rlike(r"^\p{N}+$")
 
-    A stem covers at most two words, itself and itself with an ``s``, so one
-    aggregate by stem folds plurals, and the collected list stays that short.
-    """
+
+def _is_plural(word: Column) -> Column:
+    return word.endswith("s") & ~word.endswith("ss")
+
+
+def _stem(word: Column) -> Column:
+    return F.when(_is_plural(word), F.left(word, F.length(word) - 1)).otherwise(word)
+
+
+def _form(stem: Column, has_singular: Column) -> Column:
+    """The word a stem counts under: its singular wherever that occurs."""
+    return F.when(has_singular, stem).otherwise(F.concat(stem, F.lit("s")))
+
+
+def words(df: DataFrame, text: str, by: list[str] | None = None, stop_words=CLOUD_STOP_WORDS) -> DataFrame:
+    """One row per word: lower case, no possessive ending, number or stop word."""
+    by = by or []
     word = F.col("word")
-    is_plural = word.endswith("s") & ~word.endswith("ss")
-    stem = F.when(is_plural, F.left(word, F.length(word) - 1)).otherwise(word)
-    stems = counts.withColumn("_stem", stem).groupBy(*by, "_stem").agg(
-        F.sum("n").alias("n"), F.min("word").alias("_least"), F.collect_set("word").alias("_words")
-    )
-    # the singular is a prefix of its plural, so it is the lesser of the two
-    return stems.select(*by, F.col("_least").alias("word"), "n", "_words")
+    raw = df.select(*by, F.explode(_raw_words(F.col(text))).alias("word"))
+    found = raw.select(*by, _without_possessive(word).alias("word"))
+    return found.where(~word.isin(list(stop_words)) & _is_word(word))
 
 
-def fold_plurals(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Add a plural's count to its singular where both occur."""
-    return _stems(counts, by or []).drop("_words")
+def neighbours(df: DataFrame, text: str, by: list[str] | None = None, stop_words=CLOUD_STOP_WORDS) -> DataFrame:
+    """One row per two words next to each other in a text, numbers aside,
+    neither of them a stop word."""
+    by = by or []
+    listed = F.filter(F.transform(_raw_words(F.col(text)), _without_possessive), _is_word)
 
+    def zipped(w: Column) -> Column:
+        count = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.arrays_zip(F.slice(w, F.lit(1), count).alias("word1"), F.slice(w, F.lit(2), count).alias("word2"))
 
-def _forms(counts: DataFrame, by: list[str], suffix: str) -> DataFrame:
-    """Every word with the form it counts under and that form's count."""
-    return _stems(counts, by).select(
-        *by,
-        F.explode("_words").alias(f"word{suffix}"),
-        F.col("word").alias(f"form{suffix}"),
-        F.col("n").alias(f"n{suffix}"),
+    pairs = df.select(*by, F.explode(bind(listed, zipped)).alias("_p"))
+    pairs = pairs.select(*by, "_p.word1", "_p.word2")
+    return pairs.where(~F.col("word1").isin(list(stop_words)) & ~F.col("word2").isin(list(stop_words)))
+
+
+def word_counts(df: DataFrame, text: str, by: list[str] | None = None, stop_words=CLOUD_STOP_WORDS) -> DataFrame:
+    """How often each word occurs per group, stop words left out."""
+    by = by or []
+    return words(df, text, by, stop_words).groupBy(*by, "word").agg(F.count("*").alias("n"))
+
+
+def _stem_counts(df: DataFrame, text: str, by: list[str], stop_words) -> DataFrame:
+    """Count per stem, which covers at most a word and that word with an ``s``,
+    and which of the two occur."""
+    word = F.col("word")
+    return words(df, text, by, stop_words).groupBy(*by, _stem(word).alias("stem")).agg(
+        F.count("*").alias("n"),
+        F.bool_or(~_is_plural(word)).alias("has_singular"),
+        F.bool_or(_is_plural(word)).alias("has_plural"),
     )
 
 
-def pair_counts(df: DataFrame, text: str, by: list[str] | None = None, stop_words=CLOUD_STOP_WORDS) -> DataFrame:
-    """Counts of neighbouring words of one text, neither a stop word."""
+def folded_counts(df: DataFrame, text: str, by: list[str] | None = None, stop_words=CLOUD_STOP_WORDS) -> DataFrame:
+    """Word counts with a plural's count added to its singular where both occur."""
     by = by or []
-    stop_words = list(stop_words)
-    words = df.select(*by, words_of(F.col(text)).alias("_w"))
-    heads = F.slice("_w", F.lit(1), F.greatest(F.size("_w") - 1, F.lit(0)))
-    tails = F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0)))
-    pairs = words.select(*by, F.explode(F.arrays_zip(heads.alias("a"), tails.alias("b"))).alias("_p")).select(
-        *by, F.col("_p.a").alias("word1"), F.col("_p.b").alias("word2")
+    stems = _stem_counts(df, text, by, stop_words)
+    return stems.select(*by, _form(F.col("stem"), F.col("has_singular")).alias("word"), "n")
+
+
+def _forms(stems: DataFrame, by: list[str], suffix: str) -> DataFrame:
+    """Every word with the form it counts under and that form's count."""
+    present = F.array_compact(F.array(
+        F.when(F.col("has_singular"), F.col("stem")), F.when(F.col("has_plural"), F.concat("stem", F.lit("s")))
+    ))
+    form = _form(F.col("stem"), F.col("has_singular"))
+    return stems.select(
+        *by, F.explode(present).alias(f"word{suffix}"), form.alias(f"form{suffix}"), F.col("n").alias(f"n{suffix}")
     )
-    pairs = pairs.where(~F.col("word1").isin(stop_words) & ~F.col("word2").isin(stop_words))
-    return pairs.groupBy(*by, "word1", "word2").agg(F.count("*").alias("n"))
 
 
 def likelihood_ratio(c12: Column, c1: Column, c2: Column, n: Column) -> Column:
@@ -87,25 +118,24 @@ def likelihood_ratio(c12: Column, c1: Column, c2: Column, n: Column) -> Column:
     return F.when((n <= c1) | (n <= c2), 0.0).otherwise(-2 * ratio)
 
 
-def _scored_pairs(singles: DataFrame, pairs: DataFrame, by: list[str]) -> DataFrame:
-    """Pairs with their score, and the forms their words count under.
-
-    Texts are counts by now: what is joined are distinct pairs with distinct
-    words, one row per pair.
-    """
-    terms = fold_plurals(pairs.select(*by, F.concat_ws(" ", "word1", "word2").alias("word"), "n"), by)
-    scored = (
-        terms.withColumn("word1", F.split_part("word", F.lit(" "), F.lit(1)))
-        .withColumn("word2", F.split_part("word", F.lit(" "), F.lit(2)))
-        .join(_forms(singles, by, "1"), [*by, "word1"])
-        .join(_forms(singles, by, "2"), [*by, "word2"])
+def _scored_pairs(df: DataFrame, text: str, by: list[str], stop_words) -> DataFrame:
+    """Distinct pairs with count and score, and the forms their words count under."""
+    stems = _stem_counts(df, text, by, stop_words)
+    second = F.col("word2")
+    pairs = (
+        neighbours(df, text, by, stop_words)
+        .groupBy(*by, "word1", _stem(second).alias("stem2"))
+        .agg(F.count("*").alias("n"), F.bool_or(~_is_plural(second)).alias("has_singular"))
+        .select(*by, "word1", _form(F.col("stem2"), F.col("has_singular")).alias("word2"), "n")
+        .join(_forms(stems, by, "1"), [*by, "word1"])
+        .join(_forms(stems, by, "2"), [*by, "word2"])
     )
     if by:
-        scored = scored.join(singles.groupBy(*by).agg(F.sum("n").alias("_all")), by)
+        pairs = pairs.join(stems.groupBy(*by).agg(F.sum("n").alias("_all")), by)
     else:
-        scored = scored.withColumn("_all", singles.select(F.sum("n")).scalar())
+        pairs = pairs.withColumn("_all", stems.select(F.sum("n")).scalar())
     score = likelihood_ratio(F.col("n"), F.col("n1"), F.col("n2"), F.col("_all"))
-    return scored.select(*by, "word", "n", "form1", "form2", score.alias("score"))
+    return pairs.select(*by, F.concat_ws(" ", "word1", "word2").alias("word"), "n", "form1", "form2", score.alias("score"))
 
 
 def collocations(
@@ -116,9 +146,7 @@ def collocations(
     min_score: float = COLLOCATION_SCORE,
 ) -> DataFrame:
     """Neighbouring words that belong together, with count and score."""
-    by = by or []
-    pairs = _scored_pairs(word_counts(df, text, by, stop_words), pair_counts(df, text, by, stop_words), by)
-    return pairs.where(F.col("score") > min_score).drop("form1", "form2")
+    return _scored_pairs(df, text, by or [], stop_words).where(F.col("score") > min_score).drop("form1", "form2")
 
 
 def top_words(counts: DataFrame, by: list[str] | None = None, k: int = MAX_WORDS) -> DataFrame:
@@ -144,17 +172,15 @@ def cloud_terms(
     """What the cloud draws: words and two-word terms with their counts.
 
     Plurals count under their singular, and the occurrences inside a two-word
-    term no longer count for its words.
+    term no longer count for its words: every term adds itself and takes its
+    count off both.
     """
     by = by or []
-    singles = word_counts(df, text, by, stop_words)
-    pairs = _scored_pairs(singles, pair_counts(df, text, by, stop_words), by).where(F.col("score") > min_score)
-    used = F.explode(F.array("form1", "form2")).alias("word")
-    words = (
-        fold_plurals(singles, by)
-        .unionByName(pairs.select(*by, used, (-F.col("n")).alias("n")))
-        .groupBy(*by, "word")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") > 0)
-    )
-    return top_words(words.unionByName(pairs.select(*by, "word", "n")), by, k)
+    n = F.col("n")
+    changes = F.array(*[
+        F.struct(F.col(word).alias("word"), change.alias("n")) for word, change in
+        [("word", n), ("form1", -n), ("form2", -n)]
+    ])
+    terms = _scored_pairs(df, text, by, stop_words).where(F.col("score") > min_score).select(*by, F.inline(changes))
+    counts = folded_counts(df, text, by, stop_words).unionByName(terms).groupBy(*by, "word").agg(F.sum("n").alias("n"))
+    return top_words(counts.where(n > 0), by, k)

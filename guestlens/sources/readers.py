@@ -32,6 +32,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share a scan of few partitions out to all cores, for heavy work per row.
+
+    A scan with a partition per core or more, as any large table has, is left
+    as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
     return read_json(spark, path, schemas.REVIEWS_RAW)
 
