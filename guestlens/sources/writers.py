@@ -20,7 +20,7 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = "locality",
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Gzipped CSV that :func:`read_csv` gives back unchanged."""
+    """Gzipped CSV that ``read_csv`` gives back, empty strings as NULL."""
     (
         df.write.mode(mode)
         .option("header", True)
