@@ -14,6 +14,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from guestlens.functions import labels
 
@@ -27,6 +28,7 @@ SETTINGS = {
 MODEL_NAMES = {"nb": "Naive Bayes", "rf": "Random Forest Classifier", "svc": "Linear SVC"}
 LABEL_ORDER = [labels.POSITIVE, labels.NEGATIVE]
 VOCAB_SIZE = 1 << 18
+TERMS = "words_without_stopwords"
 
 ESTIMATORS = {"nb": NaiveBayes, "rf": RandomForestClassifier, "svc": LinearSVC}
 PREDICTION_COLUMNS = [
@@ -34,30 +36,53 @@ PREDICTION_COLUMNS = [
 ]
 
 
-def text_stages(vocab_size: int = VOCAB_SIZE, min_df: float = 1.0, stop_words: list[str] | None = None) -> list:
-    """Words, words without stop words, word counts."""
-    remover = StopWordsRemover(inputCol="words", outputCol="words_without_stopwords")
+def word_stages(stop_words: list[str] | None = None) -> list:
+    """Words, and words without stop words."""
+    remover = StopWordsRemover(inputCol="words", outputCol=TERMS)
     if stop_words is not None:
         remover.setStopWords(stop_words)
-    return [
-        Tokenizer(inputCol="review_text", outputCol="words"),
-        remover,
-        CountVectorizer(
-            inputCol="words_without_stopwords", outputCol="features", vocabSize=vocab_size, minDF=min_df
-        ),
-    ]
+    return [Tokenizer(inputCol="review_text", outputCol="words"), remover]
+
+
+def _terms(rows: DataFrame, stop_words: list[str] | None) -> DataFrame:
+    tokenizer, remover = word_stages(stop_words)
+    return remover.transform(tokenizer.transform(rows)).withColumn("term", F.explode(TERMS))
+
+
+def frequent_terms(train: DataFrame, size: int = VOCAB_SIZE, stop_words: list[str] | None = None) -> DataFrame:
+    """The ``size`` most frequent terms, ties by term.
+
+    A plain top-k of this size would send that many rows of every partition to
+    one place. So the count at which the vocabulary is full is looked up first,
+    on one row per distinct count, and only terms from there up are sorted.
+    """
+    counts = _terms(train, stop_words).groupBy("term").agg(F.count("*").alias("n"))
+    order = F.desc("n"), F.asc("term")
+    reached = F.sum("terms").over(W.orderBy(F.desc("n")))
+    steps = counts.groupBy("n").agg(F.count("*").alias("terms")).withColumn("reached", reached)
+    full_at = steps.where(F.col("reached") >= size).select(F.coalesce(F.max("n"), F.lit(0))).scalar()
+    return counts.where(F.col("n") >= full_at).orderBy(*order).limit(size)
 
 
-def sentiment_pipeline(
+def fit_vocabulary(
+    train: DataFrame, size: int = VOCAB_SIZE, stop_words: list[str] | None = None
+) -> CountVectorizerModel:
+    """Count vectors over the frequent terms; only those reach the driver."""
+    terms = frequent_terms(train, size, stop_words).select(F.array("term").alias(TERMS))
+    return CountVectorizer(inputCol=TERMS, outputCol="features", vocabSize=size).fit(terms)
+
+
+def fit(
+    train: DataFrame,
     kind: str = "nb",
     vocab_size: int = VOCAB_SIZE,
-    min_df: float = 1.0,
     stop_words: list[str] | None = None,
     seed: int = 13,
     **settings,
-) -> Pipeline:
-    """An unfitted pipeline from ``review_text`` and ``review`` to a label.
+) -> PipelineModel:
+    """A pipeline from ``review_text`` and ``review`` to a predicted label.
 
+    Expects complete rows; ``train`` is read several times, so materialize it.
     The forest bins every feature of every row into a dense array of
     ``4 * vocab_size`` bytes; on large data lower ``vocab_size`` for it.
     """
@@ -66,17 +91,14 @@ def sentiment_pipeline(
     )
     if kind == "rf":
         estimator.setSeed(seed)
-    return Pipeline(stages=[
-        *text_stages(vocab_size, min_df, stop_words),
+    stages = [
+        *word_stages(stop_words),
+        fit_vocabulary(train, vocab_size, stop_words),
         StringIndexerModel.from_labels(LABEL_ORDER, inputCol="review", outputCol="reviewIndexed"),
         estimator,
         IndexToString(inputCol="prediction", outputCol="predicted_review_label", labels=LABEL_ORDER),
-    ])
-
-
-def fit(train: DataFrame, kind: str = "nb", **options) -> PipelineModel:
-    """Fit on complete rows; ``train`` is read several times, so materialize it."""
-    return sentiment_pipeline(kind, **options).fit(train)
+    ]
+    return Pipeline(stages=stages).fit(train)
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -89,7 +111,7 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
         if isinstance(stage, StringIndexerModel):
             continue
         rows = stage.transform(rows)
-    rows = rows.drop("words", "words_without_stopwords", "features")
+    rows = rows.drop("words", TERMS, "features")
     if "review" in rows.columns:
         index = {label: float(i) for i, label in enumerate(LABEL_ORDER)}
         rows = rows.withColumn("reviewIndexed", labels.lookup(F.col("review"), index))
@@ -106,13 +128,7 @@ def load(path: str) -> PipelineModel:
 
 def class_term_counts(train: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
     """Occurrences of every term per class: what naive Bayes learns from."""
-    tokenizer, remover, _ = text_stages(stop_words=stop_words)
-    words = remover.transform(tokenizer.transform(train))
-    return (
-        words.select("review", F.explode("words_without_stopwords").alias("term"))
-        .groupBy("term", "review")
-        .agg(F.count("*").alias("n"))
-    )
+    return _terms(train, stop_words).groupBy("term", "review").agg(F.count("*").alias("n"))
 
 
 def term_weights(model: PipelineModel, spark: SparkSession) -> DataFrame:

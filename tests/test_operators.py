@@ -431,6 +431,17 @@ def test_class_index_is_fixed(spark):
     assert {(r["predicted_review_label"], r["prediction"]) for r in scored.collect()} == {("negative", 1.0), ("positive", 0.0)}
 
 
+def test_vocabulary_is_the_frequent_terms(spark):
+    texts = ["b b b c c a a", "c a d e", "f e d zz"]
+    df = spark.createDataFrame([(i, "positive", t) for i, t in enumerate(texts)], "comment_id long, review string, review_text string")
+    counts = Counter(w for t in texts for w in t.split())
+    best = sorted(counts, key=lambda w: (-counts[w], w))
+    for size in (1, 3, 4, 7, 100):
+        got = sentiment.frequent_terms(df, size, stop_words=[]).collect()
+        assert [(r["term"], r["n"]) for r in got] == [(w, counts[w]) for w in best[:size]]
+        assert set(sentiment.fit_vocabulary(df, size, []).vocabulary) == set(best[:size])
+
+
 def test_empty_tokens_are_terms(spark):
     df = spark.createDataFrame([(1, "positive", "good  stay")], "comment_id long, review string, review_text string")
     assert rows(sentiment.class_term_counts(df), "term") == [("",), ("good",), ("stay",)]

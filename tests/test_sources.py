@@ -115,7 +115,7 @@ def test_train_and_rank_a_city(spark):
     good, bad = "great lovely clean", "dirty rude noisy"
     data = []
     for i in range(80):
-        is_good = i % 4 != 0
+        is_good = i % 3 != 0
         data.append((i, f"h{i % 5}", "AB"[i % 2], "title", good if is_good else bad, "positive" if is_good else "negative", None))
     data.append((99, "h1", "A", None, "great", "positive", None))
     reviews = spark.createDataFrame(
