@@ -167,6 +167,12 @@ words AS (SELECT doc_id, source, lang, unnest(ws) AS word FROM lists),
 kept AS (SELECT * FROM words WHERE word NOT IN ({CLOUD_STOP}))"""
 
 
+BEST_SOURCES = """
+best AS (
+  SELECT source FROM documents JOIN labels USING (doc_id)
+  GROUP BY source ORDER BY count(*) FILTER (quality = 1) DESC, source LIMIT 5)"""
+
+
 def stems(name: str, source: str, by: str = "") -> str:
     """(word, form, n): every word, the word it counts under, that form's count."""
     keys = f"{by}, " if by else ""
@@ -181,7 +187,7 @@ def stems(name: str, source: str, by: str = "") -> str:
   FROM {name}_stems)"""
 
 
-def pairs(by: str = "") -> str:
+def pairs(by: str = "", lists: str = WORDS) -> str:
     """Counts of single words and pairs, their forms and the pairs' scores."""
     keys = f"{by}, " if by else ""
     using = f"USING ({by}, word1)", f"USING ({by}, word2)"
@@ -196,7 +202,7 @@ def pairs(by: str = "") -> str:
     p, p1, p2 = "(n2 / t)", "(n / n1)", "((n2 - n) / (t - n1))"
     score = (f"-2 * ({log_l('n', 'n1', p)} + {log_l('(n2 - n)', '(t - n1)', p)}"
              f" - {log_l('n', 'n1', p1)} - {log_l('(n2 - n)', '(t - n1)', p2)})")
-    return f"""{WORDS},
+    return f"""{lists},
 singles AS (SELECT {keys}word, count(*) AS n FROM kept GROUP BY {keys}word),
 {stems('forms', 'singles', by)},
 starts AS (SELECT {keys}ws, unnest(range(1, len(ws))) AS i FROM lists),
@@ -366,6 +372,15 @@ left_over AS (SELECT lang, word, CAST(sum(n) AS BIGINT) AS n FROM counted GROUP
 both_kinds AS (SELECT * FROM left_over UNION ALL SELECT lang, word, n FROM terms),
 ranks AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r FROM both_kinds)
 SELECT lang, word, n FROM ranks WHERE r <= 200""",
+    "hotel_clouds": f"""WITH {pairs('source', WORDS.replace('FROM documents', "FROM documents WHERE source IN (SELECT source FROM best)")
+                                   .replace('lists AS', BEST_SOURCES + ', lists AS'))},
+counted AS (
+  SELECT DISTINCT source, form AS word, n FROM forms
+  UNION ALL SELECT source, form1, -n FROM terms UNION ALL SELECT source, form2, -n FROM terms),
+left_over AS (SELECT source, word, CAST(sum(n) AS BIGINT) AS n FROM counted GROUP BY source, word HAVING sum(n) > 0),
+both_kinds AS (SELECT * FROM left_over UNION ALL SELECT source, word, n FROM terms),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, word) AS r FROM both_kinds)
+SELECT source AS name, 'wordcloud-' || source AS file, word, n FROM ranks WHERE r <= 100""",
     "report_lines": "WITH " + report(TOP5, "top", None),
     "category_report_lines": "WITH " + report(
         IN_CITY + "," + category_totals("city", "service", "name", "max") + """,
@@ -392,6 +407,7 @@ SELECT comment_id, review, CASE review WHEN 'positive' THEN 0.0::DOUBLE ELSE 1.0
        CASE predicted WHEN 'positive' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS prediction,
        predicted AS predicted_review_label, round(log_positive, 4) AS log_positive, round(log_negative, 4) AS log_negative
 FROM scored""",
+    "nb_saved": f"""WITH {NB_SCORED} SELECT comment_id, predicted AS predicted_review_label FROM scored""",
     "top5_predicted": f"""WITH {NB_SCORED},
 totals AS (SELECT name, count(*) AS review_count, count(*) FILTER (predicted = 'positive') AS positive_counts
            FROM scored GROUP BY name)

@@ -26,7 +26,7 @@ from guestlens.operators import (
     shape,
     words,
 )
-from guestlens.plans import compare, etl, recommend
+from guestlens.plans import compare, etl, inspect, recommend
 from guestlens.session import materialize, new_path
 from guestlens.sources import readers, writers
 
@@ -328,6 +328,16 @@ def cloud_terms(spark, sf):
     return words.cloud_terms(documents(spark, sf), "text", ["lang"], k=200)
 
 
+@query
+def hotel_clouds(spark, sf):
+    rated = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(
+        F.col("source").alias("name"),
+        F.when(F.col("quality") == 1, labels.POSITIVE).alias("predicted_review_label"),
+    )
+    reviews = documents(spark, sf).select(F.col("source").alias("name"), "text")
+    return inspect.hotel_clouds(reviews, ranking.top_hotels(rated), "text", 100)
+
+
 # Reports
 
 
@@ -429,6 +439,15 @@ def _predict(kind: str, **options) -> Query:
     return run
 
 
+@query
+def nb_saved(spark, sf):
+    """Scored by a model that went through the shared folder."""
+    reviews = _text_rows(spark, sf)
+    path = new_path(spark, "model")
+    sentiment.save(recommend.train_for_city(reviews, TEXT_CITY), path)
+    return sentiment.score(sentiment.load(path), _model_input(reviews)).select("comment_id", "predicted_review_label")
+
+
 QUERIES["rf_predict"] = _predict("rf")
 QUERIES["svc_predict"] = _predict("svc")
 

@@ -29,7 +29,7 @@ def keep_listed(df: DataFrame, ids: DataFrame, key: str = "comment_id") -> DataF
 
 
 def join_totals(
-    rows: DataFrame, totals: DataFrame, key: str, names: list[str], size: str, how: str = "inner"
+    rows: DataFrame, totals: DataFrame, keys: list[str], names: list[str], size: str, how: str = "inner"
 ) -> DataFrame:
     """Join a table of one row per key back to its rows, safe for hot keys.
 
@@ -40,28 +40,31 @@ def join_totals(
     a salt that spreads them out and matches nothing.
     """
     columns = rows.columns
-    packed = F.struct(size, *names)
-    hot = totals.orderBy(F.desc(size), key).limit(HOT_GROUPS).select(key, packed.alias("_hot"))
-    every = totals.select(key, F.lit(0).alias("_salt"), packed.alias("_every"))
+    packed = F.struct(*dict.fromkeys([size, *names]))
+    hot = totals.orderBy(F.desc(size), *keys).limit(HOT_GROUPS).select(*keys, packed.alias("_hot"))
+    every = totals.select(*keys, F.lit(0).alias("_salt"), packed.alias("_every"))
     spread = 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(SALTS)).cast("int")
-    salted = rows.join(F.broadcast(hot), key, "left").withColumn(
+    salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(spread)
     )
-    joined = salted.join(every, [key, "_salt"], "left").withColumn("_found", F.coalesce("_hot", "_every"))
+    joined = salted.join(every, [*keys, "_salt"], "left").withColumn("_found", F.coalesce("_hot", "_every"))
     if how == "inner":
         joined = joined.where(F.col("_found").isNotNull())
     return joined.select(*[F.col(f"`{c}`") for c in columns], *[F.col(f"_found.{n}").alias(n) for n in names])
 
 
 def join_predictions(reviews: DataFrame, predictions: DataFrame, key: str = "comment_id") -> DataFrame:
-    """Attach one prediction per review id, whatever repeats on either side."""
+    """Attach one prediction per review id, whatever repeats on either side.
+
+    Columns that both sides have are kept from ``reviews``.
+    """
     names = [c for c in predictions.columns if c not in (key, *reviews.columns)]
     best = (
         predictions.groupBy(key)
         .agg(F.min(F.struct(*names)).alias("_p"), F.count("*").alias("_rows"))
         .select(key, "_rows", "_p.*")
     )
-    return join_totals(reviews, best, key, names, "_rows")
+    return join_totals(reviews, best, [key], names, "_rows")
 
 
 def with_group_totals(df: DataFrame, key: str, totals: dict[str, Column]) -> DataFrame:
@@ -71,4 +74,4 @@ def with_group_totals(df: DataFrame, key: str, totals: dict[str, Column]) -> Dat
     """
     rows = df.where(F.col(key).isNotNull())
     grouped = rows.groupBy(key).agg(F.count("*").alias("_rows"), *[c.alias(n) for n, c in totals.items()])
-    return join_totals(rows, grouped, key, list(totals), "_rows")
+    return join_totals(rows, grouped, [key], list(totals), "_rows")

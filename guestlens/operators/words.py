@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 
 from guestlens.functions.language import bind
 from guestlens.functions.vocabulary import CLOUD_STOP_WORDS
+from guestlens.operators.joins import join_totals
 
 # Fixed values of the word cloud: what a word is, how many are kept, and the
 # likelihood ratio from which two neighbours count as one term.
@@ -127,11 +128,11 @@ def _scored_pairs(df: DataFrame, text: str, by: list[str], stop_words) -> DataFr
         .groupBy(*by, "word1", _stem(second).alias("stem2"))
         .agg(F.count("*").alias("n"), F.bool_or(~_is_plural(second)).alias("has_singular"))
         .select(*by, "word1", _form(F.col("stem2"), F.col("has_singular")).alias("word2"), "n")
-        .join(_forms(stems, by, "1"), [*by, "word1"])
-        .join(_forms(stems, by, "2"), [*by, "word2"])
     )
+    for i in "12":
+        pairs = join_totals(pairs, _forms(stems, by, i), [*by, f"word{i}"], [f"form{i}", f"n{i}"], f"n{i}")
     if by:
-        pairs = pairs.join(stems.groupBy(*by).agg(F.sum("n").alias("_all")), by)
+        pairs = join_totals(pairs, stems.groupBy(*by).agg(F.sum("n").alias("_all")), by, ["_all"], "_all")
     else:
         pairs = pairs.withColumn("_all", stems.select(F.sum("n")).scalar())
     score = likelihood_ratio(F.col("n"), F.col("n1"), F.col("n2"), F.col("_all"))
