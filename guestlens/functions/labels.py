@@ -34,15 +34,16 @@ def lookup(c: Column, table: dict) -> Column:
 
 
 def city_name(choice: Column) -> Column:
-    return lookup(choice.cast("int"), CITIES)
+    return lookup(choice.try_cast("int"), CITIES)
 
 
 def category_name(choice: Column) -> Column:
-    return lookup(choice.cast("int"), CATEGORY_CHOICES)
+    return lookup(choice.try_cast("int"), CATEGORY_CHOICES)
 
 
 def is_choice(choice: Column, table: dict) -> Column:
-    return choice.cast("int").isin(*table)
+    """Is it a number in the table; what is no number is no choice."""
+    return F.coalesce(choice.try_cast("int").isin(*table), F.lit(False))
 
 
 def score_or_imputed(score: Column, label: Column) -> Column:

@@ -74,32 +74,31 @@ def balance_exact(train: DataFrame, seed: int = SPLIT_SEED, key: str = "comment_
     """As many positives as negatives: per class, the rows of lowest id hash.
 
     Ranking a class would sort it in one task. Instead the hash range is cut
-    into ``BUCKETS`` buckets and only their counts, at most two per bucket, are
-    summed up in order. Buckets below the cut are kept whole, and only the one
-    bucket per class that straddles it is ranked, 1/65536 of the class.
+    into ``BUCKETS`` buckets whose counts, at most one per bucket and class,
+    are summed up in order. Only the one bucket per class in which the sum
+    reaches the smaller class is ranked, 1/65536 of the class, to find the last
+    row to keep. Both look at ids and labels only; whole rows are read once, by
+    a filter against those two last rows.
     """
-    hashed = (
-        train.where(F.col("review").isin(labels.POSITIVE, labels.NEGATIVE))
-        .withColumn("_hash", id_hash(key, seed))
-        .withColumn("_bucket", F.shiftright("_hash", 16).cast("int"))
-    )
-    counts = hashed.groupBy("review", "_bucket").agg(F.count("*").alias("_n"))
+    position = F.struct(id_hash(key, seed).alias("hash"), F.col(key).alias("id"))
+    bucket = F.shiftright(F.col("_at.hash"), 16).cast("int")
+    placed = train.where(F.col("review").isin(labels.POSITIVE, labels.NEGATIVE)).withColumn("_at", position)
+    buckets = placed.select("review", "_at", bucket.alias("_bucket"))
+
+    counts = buckets.groupBy("review", "_bucket").agg(F.count("*").alias("_n"))
     classes = counts.groupBy("review").agg(F.sum("_n").alias("_class"))
-    smallest = classes.select(F.when(F.count("*") == 2, F.min("_class")).otherwise(0)).scalar()
-    before = F.coalesce(
-        F.sum("_n").over(W.partitionBy("review").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-    )
+    target = classes.select(F.when(F.count("*") == 2, F.min("_class")).otherwise(0)).scalar()
+    upto = W.partitionBy("review").orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
     cuts = (
-        counts.withColumn("_left", smallest - before)
-        .where(F.col("_left") > 0)
-        .select("review", "_bucket", "_left", (F.col("_n") > F.col("_left")).alias("_straddles"))
+        counts.withColumn("_upto", F.sum("_n").over(upto))
+        .where((F.col("_upto") >= target) & (F.col("_upto") - F.col("_n") < target))
+        .select("review", "_bucket", (target - F.col("_upto") + F.col("_n")).alias("_wanted"))
     )
-    kept = hashed.join(F.broadcast(cuts), ["review", "_bucket"])
-    whole = kept.where(~F.col("_straddles"))
-    order = W.partitionBy("review", "_bucket").orderBy("_hash", key)
-    part = (
-        kept.where("_straddles")
+    order = W.partitionBy("review", "_bucket").orderBy("_at")
+    last = (
+        buckets.join(F.broadcast(cuts), ["review", "_bucket"])
         .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= F.col("_left"))
+        .where(F.col("_rank") == F.col("_wanted"))
+        .select("review", F.col("_at").alias("_last"))
     )
-    return whole.select(train.columns).unionByName(part.select(train.columns))
+    return placed.join(F.broadcast(last), "review").where(F.col("_at") <= F.col("_last")).select(train.columns)

@@ -90,7 +90,8 @@ def fit(
         featuresCol="features", labelCol="reviewIndexed", predictionCol="prediction", **SETTINGS[kind] | settings
     )
     if kind == "rf":
-        estimator.setSeed(seed)
+        # deep trees: keep each row's place in the tree instead of walking it again
+        estimator.setSeed(seed).setCacheNodeIds(True)
     stages = [
         *word_stages(stop_words),
         fit_vocabulary(train, vocab_size, stop_words),

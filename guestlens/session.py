@@ -17,6 +17,13 @@ SESSION_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
+# A shuffle of many terabytes starts from many partitions; AQE merges what is
+# small. A local session keeps its own few.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
 
 def build_session(app: str = "guestlens", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the engine's settings; ``conf`` keys use ``__`` for dots."""
@@ -26,7 +33,12 @@ def build_session(app: str = "guestlens", master: str | None = None, **conf: str
     settings = SESSION_CONF | {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        for key, value in CLUSTER_CONF.items():
+            if key not in settings and spark.sparkContext.getConf().get(key) is None:
+                spark.conf.set(key, value)
+    return spark
 
 
 @functools.cache

@@ -77,6 +77,8 @@ def test_choices(spark):
     assert one(spark, labels.city_name, "11") is None
     assert one(spark, labels.category_name, "2") == "cleanliness"
     assert one(spark, lambda c: labels.is_choice(c, labels.CATEGORY_CHOICES), "6") is False
+    assert one(spark, labels.city_name, "q") is None
+    assert one(spark, lambda c: labels.is_choice(c, labels.CITIES), "q") is False
     assert one(spark, text.is_digits, "1a") is False
     assert one(spark, text.tidy_choice, "  Q ") == "q"
 
