@@ -25,6 +25,13 @@ def of_hotel(df: DataFrame, name: str, city: str | None = None) -> DataFrame:
     return in_city(rows, city) if city else rows
 
 
+def with_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with a value in each column, as conditions the optimizer knows."""
+    for c in columns:
+        df = df.where(F.col(c).isNotNull())
+    return df
+
+
 def any_null(c: Column) -> Column:
     """Aggregate: does the column hold a NULL?"""
     return F.bool_or(c.isNull())

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from guestlens.operators import filters
+
 # The groups treated as hot are the largest ones, this many at most; any other
 # group holds less than 1 / HOT_GROUPS of the rows. Rows of hot groups are
 # spread over SALTS keys.
@@ -40,6 +42,8 @@ def join_totals(
     a salt that spreads them out and matches nothing.
     """
     columns = rows.columns
+    # asked of both uses here, so that they plan the same shuffle, which runs once
+    totals = filters.with_values(totals, keys)
     packed = F.struct(*dict.fromkeys([size, *names]))
     hot = totals.orderBy(F.desc(size), *keys).limit(HOT_GROUPS).select(*keys, packed.alias("_hot"))
     every = totals.select(*keys, F.lit(0).alias("_salt"), packed.alias("_every"))

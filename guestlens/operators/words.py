@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 
 from guestlens.functions.language import bind
 from guestlens.functions.vocabulary import CLOUD_STOP_WORDS
+from guestlens.operators import filters
 from guestlens.operators.joins import join_totals
 
 # Fixed values of the word cloud: what a word is, how many are kept, and the
@@ -81,11 +82,14 @@ def _stem_counts(df: DataFrame, text: str, by: list[str], stop_words) -> DataFra
     """Count per stem, which covers at most a word and that word with an ``s``,
     and which of the two occur."""
     word = F.col("word")
-    return words(df, text, by, stop_words).groupBy(*by, _stem(word).alias("stem")).agg(
+    stems = words(df, text, by, stop_words).groupBy(*by, _stem(word).alias("stem")).agg(
         F.count("*").alias("n"),
         F.bool_or(~_is_plural(word)).alias("has_singular"),
         F.bool_or(_is_plural(word)).alias("has_plural"),
     )
+    # Always true. It keeps every use of the stems on the same shuffle, so that
+    # the texts are cut into words once.
+    return stems.where(F.col("has_singular") | F.col("has_plural"))
 
 
 def folded_counts(df: DataFrame, text: str, by: list[str] | None = None, stop_words=CLOUD_STOP_WORDS) -> DataFrame:
@@ -147,7 +151,9 @@ def collocations(
     min_score: float = COLLOCATION_SCORE,
 ) -> DataFrame:
     """Neighbouring words that belong together, with count and score."""
-    return _scored_pairs(df, text, by or [], stop_words).where(F.col("score") > min_score).drop("form1", "form2")
+    by = by or []
+    pairs = _scored_pairs(filters.with_values(df, by), text, by, stop_words)
+    return pairs.where(F.col("score") > min_score).drop("form1", "form2")
 
 
 def top_words(counts: DataFrame, by: list[str] | None = None, k: int = MAX_WORDS) -> DataFrame:
@@ -177,6 +183,7 @@ def cloud_terms(
     count off both.
     """
     by = by or []
+    df = filters.with_values(df, by)
     n = F.col("n")
     changes = F.array(*[
         F.struct(F.col(word).alias("word"), change.alias("n")) for word, change in
