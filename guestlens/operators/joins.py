@@ -42,19 +42,24 @@ def join_totals(
     a salt that spreads them out and matches nothing.
     """
     columns = rows.columns
-    # asked of both uses here, so that they plan the same shuffle, which runs once
-    totals = filters.with_values(totals, keys)
-    packed = F.struct(*dict.fromkeys([size, *names]))
-    hot = totals.orderBy(F.desc(size), *keys).limit(HOT_GROUPS).select(*keys, packed.alias("_hot"))
-    every = totals.select(*keys, F.lit(0).alias("_salt"), packed.alias("_every"))
+    # Always true of groups. Asked here of both uses, these conditions make them
+    # plan the same shuffle, which then runs once.
+    totals = filters.with_values(totals, keys).where(F.col(size) > 0)
+    hot = totals.orderBy(F.desc(size), *keys).limit(HOT_GROUPS).select(
+        *keys, F.lit(True).alias("_hot"), *[F.col(n).alias(f"_hot_{n}") for n in names]
+    )
+    every = totals.select(
+        *keys, F.lit(0).alias("_salt"), F.lit(True).alias("_cold"), *[F.col(n).alias(f"_cold_{n}") for n in names]
+    )
     spread = 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(SALTS)).cast("int")
     salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(spread)
     )
-    joined = salted.join(every, [*keys, "_salt"], "left").withColumn("_found", F.coalesce("_hot", "_every"))
+    joined = salted.join(every, [*keys, "_salt"], "left")
     if how == "inner":
-        joined = joined.where(F.col("_found").isNotNull())
-    return joined.select(*[F.col(f"`{c}`") for c in columns], *[F.col(f"_found.{n}").alias(n) for n in names])
+        joined = joined.where(F.col("_hot").isNotNull() | F.col("_cold").isNotNull())
+    found = [F.coalesce(f"_hot_{n}", f"_cold_{n}").alias(n) for n in names]
+    return joined.select(*[F.col(f"`{c}`") for c in columns], *found)
 
 
 def join_predictions(reviews: DataFrame, predictions: DataFrame, key: str = "comment_id") -> DataFrame:

@@ -105,7 +105,7 @@ def test_language_profiles_are_a_parameter(spark):
     assert found == "it"
 
 
-def test_stop_words_are_sparks():
+def test_stop_words_are_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
 
     assert StopWordsRemover.loadDefaultStopWords("english") == ENGLISH_STOP_WORDS
