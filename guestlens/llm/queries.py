@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import mixing, sharding, tokens
+from guestlens.llm import jaccard, mixing, repeats, sharding, tokens
 from guestlens.llm.common import read
 
 
@@ -26,10 +26,20 @@ def mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_documents(read(spark, sf, "documents"))
 
 
+def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf, "documents"), with_text=False).drop("kept_text")
+
+
+def jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_sharding": sample_sharding,
     "op3_token_output": token_output,
     "op6_mixing": mix_sources,
+    "op7_substring_dedup": substring_dedup,
+    "op8_jaccard_join": jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}

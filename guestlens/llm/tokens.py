@@ -34,19 +34,21 @@ HAS_CHECKSUMS = 0x80
 END_ID = 2
 FRAME_IDS = 1 << 20  # ids in one frame at most
 CACHE = 400_000  # words and pieces whose ids a worker remembers
-# Words that the fast path may cut itself: printable ASCII. The pattern is the
-# vocabulary's own, for lower-case ASCII.
-_PLAIN = re.compile(r"[!-~]+")
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Words that the fast path may cut itself: printable ASCII and accented Latin
+# letters, which are normal as they stand. The pattern is the vocabulary's own
+# for such words in lower case.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-įı-ž]+")
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž]+")
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, remembered by word.
 
     The vocabulary drops white space and never joins across it, so the ids of a
-    text are those of its words. Words with anything unusual (other than
-    printable ASCII, or special tokens) go through the library as a whole; so do
-    texts with control characters that Python and the library class differently.
+    text are those of its words. Words with other characters than printable
+    ASCII and Latin letters, or with special tokens, go through the library as a
+    whole; so do texts with control characters that Python and the library class
+    differently.
     """
 
     def __init__(self, path: str) -> None:
@@ -61,7 +63,9 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        ids = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
+        model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        mapped = [piece] if piece.isascii() else [p for p, _ in cut.pre_tokenize_str(piece)]
+        ids = np.array([t.id for p in mapped for t in model.tokenize(p)], "<u4").tobytes()
         if len(self.pieces) >= CACHE:
             self.pieces.clear()
         self.pieces[piece] = ids
