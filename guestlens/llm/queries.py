@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import jaccard, mixing, repeats, sharding, tokens
+from guestlens.llm import jaccard, mixing, quality_model, quality_rules, repeats, sharding, tokens
 from guestlens.llm.common import read
 
 
@@ -34,9 +34,20 @@ def jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, sf, "documents"))
 
 
+def quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    trusted = read(spark, sf, "labels").where("quality = 1")
+    return quality_model.classify(read(spark, sf, "documents"), trusted)
+
+
+def rate_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.rate_documents(read(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_sharding": sample_sharding,
+    "op2_quality_classifier": quality_classifier,
     "op3_token_output": token_output,
+    "op4_quality_rules": rate_quality,
     "op6_mixing": mix_sources,
     "op7_substring_dedup": substring_dedup,
     "op8_jaccard_join": jaccard_join,
