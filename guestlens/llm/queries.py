@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import jaccard, mixing, quality_model, quality_rules, repeats, sharding, tokens
+from guestlens.llm import jaccard, mixing, quality_model, quality_rules, repeats, sharding, tokens, toxicity
 from guestlens.llm.common import read
 
 
@@ -43,6 +43,10 @@ def rate_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.rate_documents(read(spark, sf, "documents"))
 
 
+def toxicity_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score(read(spark, sf, "documents"), read(spark, sf, "labels").select("doc_id", "toxic"))
+
+
 QUERIES = {
     "op1_sharding": sample_sharding,
     "op2_quality_classifier": quality_classifier,
@@ -51,6 +55,7 @@ QUERIES = {
     "op6_mixing": mix_sources,
     "op7_substring_dedup": substring_dedup,
     "op8_jaccard_join": jaccard_join,
+    "op10_toxicity": toxicity_scores,
 }
 
 ORACLE_SQL: dict[str, str] = {}
