@@ -5,23 +5,61 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from guestlens.llm import mixing, tokens
-from guestlens.llm.common import new_path, read
+from guestlens.llm import jaccard, mixing, quality_rules, templates, tokens
+from guestlens.llm.common import join_small, materialize, new_path, read
 from guestlens.llm.queries import vocabulary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Documents but for the rejected rows, named by their place in the input."""
+    placed = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    return join_small(placed, materialize(rejected.select("_row"), "rejected"), ["_row"], "left_anti").drop("_row")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and stand in their language's band."""
+    return _without(docs, quality_rules.judge(docs).where(~F.col("kept")))
+
+
+def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    return _without(docs, jaccard.near_duplicates(docs).where(~F.col("stays")))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    judged = templates.decontaminate(docs, read(spark, sf_dir, "benchmark"), COLUMNS)
+    return judged.where(~F.col("contaminated")).select(*COLUMNS)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    mixed = mixing.mix(docs, mixing.n_words(F.col("text")), COLUMNS)
+    times = (F.col("taken") / F.col("size")).cast("int")
+    taken = mixed.where("taken > 0")
+    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1), times))).select(*COLUMNS)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of all documents in files, read back."""
     return tokens.token_files(docs, vocabulary())
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("token-ID output", token_output),
+    ("quality rules", quality_stage),
+    ("n-gram Jaccard join", duplicates_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing to target weights", mixing_stage),
+    ("token-ID output", token_stage),
 ]
 
-# Language-model perplexities and compressed files are not SQL.
+# Perplexities of a trained model and compressed files are not SQL; the tests
+# hold every stage against brute force.
 ORACLE_SQL = None
 
 

@@ -50,15 +50,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str, spread: Column) -> DataFrame:
-    """Join rows to a table with one row per key, which may be hot in ``rows``.
+def join_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str, spread: Column | None = None) -> DataFrame:
+    """Join rows to a table with one row per key.
 
     The table is counted first. Up to ``BROADCAST_ROWS`` it is broadcast. Beyond
-    that it is repeated once per salt, and rows pick a salt by ``spread``, a
-    number that differs between rows of one key.
+    that both sides are shuffled. Where keys repeat in ``rows`` and may be hot,
+    the table is then repeated once per salt, and rows pick a salt by ``spread``,
+    a number that differs between rows of one key.
     """
     if small.count() <= BROADCAST_ROWS:
         return rows.join(F.broadcast(small), keys, how)
+    if spread is None:
+        return rows.join(small, keys, how)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(spread, F.lit(SALTS)).cast("int")
     return rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"], how).drop("_salt")

@@ -21,6 +21,7 @@ PERCENT = 75
 # gives the same result; this one keeps widely shared passages out of prefixes.
 COMMON = 1 << 18
 _BLOCK = 1 << 22  # shingles counted at once in a task
+LAST = (1 << 63) - 1  # stands for a null doc_id, which is smaller than none
 _SLOTS = 22  # bits of a hash that name its slot among common ones
 
 
@@ -156,7 +157,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, packed: bytes
     """Those of the pairs (a, b) whose sets link, by their whole sets."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     needed = materialize(needed.join(nodes.select("node", "_row"), "node").select("_row"), "needed-rows")
-    texts = join_small(rows, needed, ["_row"], "left_semi", F.col("_row"))
+    texts = join_small(rows, needed, ["_row"], "left_semi")
     sets = materialize(texts.select("text", "_node").mapInArrow(_sets(packed), "node long, members array<long>"), "sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("_a")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("members").alias("_b")), "b"
@@ -167,7 +168,9 @@ def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, packed: bytes
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document.
+    """_row (place in the input), doc_id, n_shingles, component_id, stays of every document.
+
+    ``stays`` marks one row of each component, the first with its smallest id.
 
     Equal texts are one node. Nodes with equal prefixes and size are one group.
     Groups that share a prefix shingle are candidates if their sizes and the
@@ -193,7 +196,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     table = materialize(rows.mapInArrow(_prefixes(packed), schema), "prefixes")
     worded = table.where("n > 0")
     nodes = worded.groupBy("node").agg(
-        F.min("_row").alias("_row"), F.min("doc_id").alias("_least"), F.min("n").alias("n"), F.min("grp").alias("grp")
+        F.min("_row").alias("_row"),
+        F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), F.col("_row"))).alias("_least"),
+        F.min("n").alias("n"),
+        F.min("grp").alias("grp"),
     )
     nodes = materialize(nodes, "nodes")
     leaders = materialize(nodes.groupBy("grp").agg(F.min("node").alias("leader"), F.min("n").alias("n")), "groups")
@@ -224,13 +230,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found = materialize(components(links.union(more)), "components")
 
     labelled = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = labelled.groupBy("component").agg(F.min("_least").alias("component_id"))
-    of_node = materialize(labelled.join(least, "component").select("node", "component_id"), "component-ids")
+    least = labelled.groupBy("component").agg(F.min("_least").alias("_first"))
+    of_node = materialize(labelled.join(least, "component").select("node", "_first"), "component-ids")
     final = join_small(table.select("doc_id", "node", "n", "_row"), of_node, ["node"], "left", F.col("_row"))
+    alone = F.col("n") == 0
     return final.select(
+        "_row",
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(alone, F.col("doc_id")).when(F.col("_first.doc_id") < LAST, F.col("_first.doc_id")).alias("component_id"),
+        (alone | (F.col("_row") == F.col("_first._row"))).alias("stays"),
     )
 
 

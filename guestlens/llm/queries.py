@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import jaccard, mixing, quality_model, quality_rules, repeats, sharding, tokens, toxicity
+from guestlens.llm import jaccard, licenses, mixing, quality_model, quality_rules, repeats, sharding, templates, tokens, toxicity
 from guestlens.llm.common import read
 
 
@@ -31,7 +31,7 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard.near_duplicates(read(spark, sf, "documents"))
+    return jaccard.near_duplicates(read(spark, sf, "documents")).drop("_row", "stays")
 
 
 def quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,15 +47,27 @@ def toxicity_scores(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(read(spark, sf, "documents"), read(spark, sf, "labels").select("doc_id", "toxic"))
 
 
+def decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return templates.decontaminate(read(spark, sf, "documents"), read(spark, sf, "benchmark"), ["doc_id"])
+
+
+def license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(read(spark, sf, "documents"), licenses.known_digests(spark))
+
+
 QUERIES = {
     "op1_sharding": sample_sharding,
     "op2_quality_classifier": quality_classifier,
     "op3_token_output": token_output,
     "op4_quality_rules": rate_quality,
+    "op5_decontamination": decontamination,
     "op6_mixing": mix_sources,
     "op7_substring_dedup": substring_dedup,
     "op8_jaccard_join": jaccard_join,
+    "op9_license_scan": license_scan,
     "op10_toxicity": toxicity_scores,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_license_scan": licenses.scan_sql(),
+}
