@@ -149,8 +149,13 @@ def _shared_prefix(a: Column, b: Column) -> Column:
     return F.least(_prefix(a) - a + overlap, _prefix(b) - b + overlap)
 
 
-def _sizes_fit(a: Column, b: Column) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _meet() -> Column:
+    """Sizes n and _m allow a link, and the shared shingle, at places ``at`` and
+    ``_to``, is among the first ones of which sets of these sizes share one."""
+    a, b = F.col("n"), F.col("_m")
+    overlap = _least_overlap(a, b)
+    sizes = 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+    return sizes & (F.col("at") <= a - overlap) & (F.col("_to") <= b - overlap)
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, packed: bytes) -> DataFrame:
@@ -204,14 +209,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = materialize(nodes, "nodes")
     leaders = materialize(nodes.groupBy("grp").agg(F.min("node").alias("leader"), F.min("n").alias("n")), "groups")
 
-    tokens = worded.select(F.explode("prefix").alias("token"), "grp", "n")
+    tokens = worded.select(F.posexplode("prefix").alias("at", "token"), "grp", "n")
     ends = tokens.groupBy("token").agg(F.min("grp").alias("_a"), F.max("grp").alias("_b"))
     shared = materialize(ends.where("_a < _b").select("token"), "shared-tokens")
     hits = materialize(tokens.join(shared, "token", "left_semi").distinct(), "hits")
 
-    hubs = hits.groupBy("token").agg(F.min(F.struct(F.xxhash64("grp", "token").alias("_h"), F.col("grp"), F.col("n"))).alias("_hub"))
-    hubs = materialize(hubs.select("token", F.col("_hub.grp").alias("_g"), F.col("_hub.n").alias("_n")), "hubs")
-    stars = hits.join(hubs, "token").where((F.col("grp") != F.col("_g")) & _sizes_fit(F.col("n"), F.col("_n")))
+    hubs = hits.groupBy("token").agg(F.min(F.struct(F.xxhash64("grp", "token").alias("_h"), "grp", "n", "at")).alias("_hub"))
+    hubs = hubs.select("token", F.col("_hub.grp").alias("_g"), F.col("_hub.n").alias("_m"), F.col("_hub.at").alias("_to"))
+    stars = hits.join(materialize(hubs, "hubs"), "token").where((F.col("grp") != F.col("_g")) & _meet())
     stars = stars.select(F.greatest("grp", "_g").alias("_x"), F.least("grp", "_g").alias("_y")).distinct()
     of = leaders.select(F.col("grp").alias("_x"), F.col("leader").alias("a"))
     stars = stars.join(of, "_x").join(of.select(F.col("_x").alias("_y"), F.col("a").alias("b")), "_y").select("a", "b")
@@ -224,8 +229,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found = materialize(components(links), "components")
     else:
         found = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    rest = _between(hits, nodes, found)
-    more = _verified(rest, rows, nodes, packed)
+    rest = _by_prefix(_between(hits, nodes, found), worded, nodes)
+    more = _verified(materialize(rest, "rest"), rows, nodes, packed)
     if not more.isEmpty():
         found = materialize(components(links.union(more)), "components")
 
@@ -261,10 +266,12 @@ def _between(hits: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     open_ = hits.join(materialize(label, "labels"), "grp")
     ends = open_.groupBy("token").agg(F.min("_c").alias("_a"), F.max("_c").alias("_b"))
     mixed = materialize(ends.where("_a < _b").select("token"), "open-tokens")
-    open_ = materialize(open_.join(mixed, "token", "left_semi").select("token", "node", "_c", "n"), "open-hits")
-    other = open_.select("token", F.col("node").alias("b"), F.col("_c").alias("_d"), F.col("n").alias("_m"))
+    open_ = open_.join(mixed, "token", "left_semi").select("token", "node", "_c", "n", "at")
+    open_ = materialize(open_, "open-hits")
+    other = open_.select(
+        "token", F.col("node").alias("b"), F.col("_c").alias("_d"), F.col("n").alias("_m"), F.col("at").alias("_to")
+    )
     pairs = open_.withColumnRenamed("node", "a").join(other, "token").where(
-        (F.col("a") < F.col("b")) & (F.col("_c") != F.col("_d")) & _sizes_fit(F.col("n"), F.col("_m"))
+        (F.col("a") < F.col("b")) & (F.col("_c") != F.col("_d")) & _meet()
     )
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("_k"), F.min("n").alias("n"), F.min("_m").alias("_m"))
-    return materialize(counted.where(F.col("_k") >= _shared_prefix(F.col("n"), F.col("_m"))).select("a", "b"), "between")
+    return materialize(pairs.select("a", "b").distinct(), "between")

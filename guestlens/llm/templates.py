@@ -11,49 +11,64 @@ from guestlens.llm.common import BROADCAST_ROWS, join_small, materialize
 # least so many are plain words. Every such run holds one whole aligned block.
 RUN, PLAIN = 13, 8
 BLOCK = RUN // 2 + 1
-NUMBER, UNIT, NAME = "#1", "#2", "#3"
+NUMBER, UNIT = "\x01", "\x02"
 UNITS = (
     "mm cm m km in ft yd mi mg g kg t lb oz ml l gal s sec min h hr hrs day days week weeks month months year years "
     "percent usd eur gbp dollar dollars cent cents euro euros pound pounds inch inches foot feet yard yards mile miles "
     "meter meters metre metres kilometer kilometers kilometre kilometres gram grams kilogram kilograms liter liters "
     "litre litres second seconds minute minutes hour hours"
 ).split()
-_TOKEN = r"\p{N}+(?:[.,:/]\p{N}+)*|\p{L}+"
+_NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
+_TOKEN = _NUMBER + r"|\p{L}+"
+# Capitals that begin names: Latin, Greek and Cyrillic.
+_CAPITAL = "A-ZÀ-ÖØ-ÞΑ-ΫА-Я"
+# One character stands for each kind of slot; texts do not have them.
+_MARKS = "\x01\x02\x03"
 
 
-def _is_number(token: Column) -> Column:
-    return F.ascii(token).between(48, 57)
+def _clean(text: Column) -> Column:
+    """The text without the marks, and without a capital that lower-cases to two characters."""
+    return F.translate(F.coalesce(text, F.lit("")), _MARKS + "İ", "   I")
 
 
-def _is_name(token: Column) -> Column:
-    """Begins with a capital: Latin, Greek or Cyrillic."""
-    first = F.ascii(token)
-    return first.between(65, 90) | first.between(192, 222) | first.between(913, 939) | first.between(1040, 1071)
+def _marked(text: Column) -> Column:
+    """Numbers, and units behind numbers, replaced by their marks."""
+    units = rf"(?i){_NUMBER}[^\p{{L}}0-9]*(?:{'|'.join(UNITS)})(?!\p{{L}})"
+    marked = F.regexp_replace(F.regexp_replace(text, units, " \x01 \x02 "), _NUMBER, " \x01 ")
+    return F.when(F.regexp_like(text, F.lit("[0-9]")), marked).otherwise(text)
+
+
+def _tokens(marked: Column) -> Column:
+    """The lower-case words and marks of a text."""
+    rest = rf"[^\p{{L}}{_MARKS}]+"
+    return F.split(F.regexp_replace(F.lower(marked), "^" + rest, ""), rest)
+
+
+def _named(marked: Column) -> Column:
+    """Names replaced by their mark."""
+    return F.regexp_replace(marked, rf"(?<!\p{{L}})[{_CAPITAL}]\p{{L}}*", "\x03")
 
 
 def _with_templates(df: DataFrame) -> DataFrame:
-    """Adds _raw (tokens), _plain (lower case, numbers and units replaced) and _named (names replaced too)."""
-    df = df.withColumn("_raw", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_TOKEN), 0))
-    df = df.withColumn(
-        "_plain",
-        F.transform(
-            "_raw",
-            lambda x, i: F.when(_is_number(x), NUMBER)
-            .when(F.lower(x).isin(UNITS) & F.coalesce(_is_number(F.get("_raw", i - 1)), F.lit(False)), UNIT)
-            .otherwise(F.lower(x)),
-        ),
-    )
-    return df.withColumn(
-        "_named",
-        F.zip_with("_plain", "_raw", lambda p, x: F.when(_is_name(x) & ~p.isin(NUMBER, UNIT), NAME).otherwise(p)),
-    )
+    """Adds _plain (tokens, numbers and units marked) and _named (names marked too)."""
+    df = df.withColumn("_marked", _marked(_clean(F.col("text"))))
+    return df.withColumn("_plain", _tokens(F.col("_marked"))).withColumn("_named", _tokens(_named(F.col("_marked")))).drop("_marked")
+
+
+def _with_tokens(df: DataFrame) -> DataFrame:
+    """Adds the templates and _raw, the tokens themselves in lower case, place by place."""
+    raw = F.regexp_extract_all(F.lower(_clean(F.col("text"))), F.lit(_TOKEN), 0)
+    return _with_templates(df).withColumn("_raw", raw)
 
 
 def _blocks(tokens: str, step: int) -> Column:
     """(at, hash) of the blocks of a template that begin at every ``step``-th token."""
     last = F.size(tokens) - BLOCK
     starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(tokens, i + 1, BLOCK)).alias("h")))
+    # By single tokens: a slice would copy the whole array for every block.
+    return F.transform(
+        starts, lambda i: F.struct(i.alias("at"), F.xxhash64(*[F.get(tokens, i + j) for j in range(BLOCK)]).alias("h"))
+    )
 
 
 def _opened(df: DataFrame, key: str, at: str, step: int) -> DataFrame:
@@ -94,7 +109,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     tokens holds one of those whole, so none is missed. Pairs that meet are
     aligned and checked token by token.
     """
-    items = _with_templates(benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct())
+    items = _with_tokens(benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct())
     items = items.withColumn("_item", F.xxhash64("item_id", "text"))
     items = materialize(items.select("_item", "item_id", "_raw", "_plain", "_named"), "items")
     wanted = materialize(_opened(items, "_item", "_off", 1).distinct(), "item-blocks")
@@ -105,7 +120,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = materialize(met, "met")
     rows = materialize(met.select("_row").distinct(), "met-rows")
     own = join_small(docs.select("_row", "text"), rows, ["_row"], "left_semi")
-    own = materialize(_with_templates(own).drop("text"), "met-templates")
+    own = materialize(_with_tokens(own).drop("text"), "met-templates")
     other = items.select("_item", "item_id", *[F.col(c).alias(f"{c}2") for c in ("_raw", "_plain", "_named")])
     pairs = met.join(own, "_row")
     pairs = join_small(pairs, other, ["_item"], "inner", F.col("_row"))
@@ -122,14 +137,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.zip_with(mine["_named"], theirs["_named"], lambda a, b: a == b),
             lambda a, b: a | b,
         ).alias("_same"),
-        F.transform(mine["_raw"], F.lower).alias("_doc"),
-        F.transform(theirs["_raw"], F.lower).alias("_own"),
+        mine["_raw"].alias("_doc"),
+        theirs["_raw"].alias("_own"),
         F.zip_with(
             F.zip_with(mine["_plain"], theirs["_plain"], lambda a, b: a != b),
             mine["_plain"],
             lambda differs, a: differs | a.isin(NUMBER, UNIT),
         ).alias("_slot"),
     )
+    # Written, so that the arrays are not built anew at each place that is looked at.
+    aligned = materialize(aligned, "aligned")
     runs = aligned.select("_row", "item_id", F.size(_leaks("_same", "_doc", "_own", "_slot")).alias("n"))
     return runs.where("n > 0").groupBy("_row", "item_id").agg(F.sum("n").alias("n_runs"))
 
