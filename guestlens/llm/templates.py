@@ -61,19 +61,18 @@ def _with_tokens(df: DataFrame) -> DataFrame:
     return _with_templates(df).withColumn("_raw", raw)
 
 
-def _blocks(tokens: str, step: int) -> Column:
-    """(at, hash) of the blocks of a template that begin at every ``step``-th token."""
-    last = F.size(tokens) - BLOCK
+def _opened(df: DataFrame, key: str, at: str, step: int) -> DataFrame:
+    """(key, at, h): hashes of the blocks, of either template, that begin at every ``step``-th token."""
+    last = F.size("_plain") - BLOCK
     starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    # By single tokens: a slice would copy the whole array for every block.
-    return F.transform(
-        starts, lambda i: F.struct(i.alias("at"), F.xxhash64(*[F.get(tokens, i + j) for j in range(BLOCK)]).alias("h"))
-    )
 
+    def block(tokens: str, i: Column) -> Column:
+        return F.xxhash64(*[F.get(tokens, i + j) for j in range(BLOCK)])
 
-def _opened(df: DataFrame, key: str, at: str, step: int) -> DataFrame:
-    both = F.array_distinct(F.concat(_blocks("_plain", step), _blocks("_named", step)))
-    return df.select(key, F.explode(both).alias("_b")).select(key, F.col("_b.at").alias(at), F.col("_b.h").alias("h"))
+    both = F.transform(starts, lambda i: F.struct(i.alias("at"), block("_plain", i).alias("p"), block("_named", i).alias("q")))
+    opened = df.select(key, F.explode(both).alias("_b"))
+    hashes = F.array_distinct(F.array("_b.p", "_b.q"))
+    return opened.select(key, F.col("_b.at").alias(at), F.explode(hashes).alias("h"))
 
 
 def _leaks(same: str, doc: str, item: str, slot: str) -> Column:
