@@ -23,8 +23,8 @@ def clean(c: str, joiner: str = "") -> str:
     return f"lower(regexp_replace({joined}, '[^a-zA-Z{SPACES}]+', '', 'g'))"
 
 
-def id_hash(key: str) -> str:
-    return f"('0x' || substr(md5('13:' || {key}), 1, 8))::BIGINT"
+def id_hash(key: str, purpose: str = "sample") -> str:
+    return f"('0x' || substr(md5('{purpose}:13:' || {key}), 1, 8))::BIGINT"
 
 
 def pad(c: str, width) -> str:
@@ -116,7 +116,7 @@ def tokens(name: str, source: str) -> str:
 
 NB = TEXTS + f""",
 others AS (SELECT * FROM texts WHERE locality IS DISTINCT FROM '{TEXT_CITY}' AND review IS NOT NULL),
-held_out AS (SELECT * FROM texts WHERE locality = '{TEXT_CITY}' AND review IS NOT NULL), {balanced('others')},
+held_out AS (SELECT * FROM texts WHERE locality = '{TEXT_CITY}' AND review_text IS NOT NULL), {balanced('others')},
 {tokens('words', 'balanced')}"""
 
 NB_WEIGHTS = NB + """,
@@ -205,8 +205,7 @@ def pairs(by: str = "", lists: str = WORDS) -> str:
     return f"""{lists},
 singles AS (SELECT {keys}word, count(*) AS n FROM kept GROUP BY {keys}word),
 {stems('forms', 'singles', by)},
-starts AS (SELECT {keys}ws, unnest(range(1, len(ws))) AS i FROM lists),
-neighbours AS (SELECT {keys}ws[i] AS a, ws[i + 1] AS b FROM starts),
+neighbours AS (SELECT {keys}unnest(ws[1:len(ws) - 1]) AS a, unnest(ws[2:len(ws)]) AS b FROM lists),
 pair_counts AS (
   SELECT {keys}a || ' ' || b AS word, count(*) AS n FROM neighbours
   WHERE a NOT IN ({CLOUD_STOP}) AND b NOT IN ({CLOUD_STOP}) GROUP BY {keys}word),
@@ -332,7 +331,7 @@ ranks AS (SELECT comment_id, review, row_number() OVER (PARTITION BY review ORDE
 smallest AS (SELECT min(n) AS n FROM (SELECT count(*) AS n FROM labelled GROUP BY review))
 SELECT comment_id, review FROM ranks, smallest WHERE r <= n""",
     "random_split": f"""SELECT doc_id AS comment_id,
-       CASE WHEN {id_hash('doc_id')} < CAST(0.8 AS DOUBLE) * 4294967296 THEN 'train' ELSE 'test' END AS part
+       CASE WHEN {id_hash('doc_id', 'split')} < CAST(0.8 AS DOUBLE) * 4294967296 THEN 'train' ELSE 'test' END AS part
 FROM documents""",
     "review_counts": f"""WITH {RATED} SELECT name, l_orderkey, l_linenumber, review AS predicted_review_label,
        count(*) OVER (PARTITION BY name) AS review_count FROM rated""",
@@ -359,7 +358,7 @@ SELECT word, count(*) AS n FROM kept GROUP BY word ORDER BY n DESC, word LIMIT 1
     "word_freq_by_source": f"""WITH {WORDS},
 counted AS (SELECT source, word, count(*) AS n FROM kept GROUP BY source, word),
 ranks AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, word) AS r FROM counted)
-SELECT 'wordcloud_' || source AS file, word, n FROM ranks WHERE r <= 100""",
+SELECT 'wordcloud_' || source AS file, word, n FROM ranks WHERE r <= 1000""",
     "word_plurals": f"""WITH {WORDS}, singles AS (SELECT lang, word, count(*) AS n FROM kept GROUP BY lang, word),
 {stems('forms', 'singles', 'lang')}
 SELECT DISTINCT lang, form AS word, n FROM forms""",
@@ -371,7 +370,7 @@ counted AS (
 left_over AS (SELECT lang, word, CAST(sum(n) AS BIGINT) AS n FROM counted GROUP BY lang, word HAVING sum(n) > 0),
 both_kinds AS (SELECT * FROM left_over UNION ALL SELECT lang, word, n FROM terms),
 ranks AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r FROM both_kinds)
-SELECT lang, word, n FROM ranks WHERE r <= 200""",
+SELECT lang, word, n FROM ranks WHERE r <= 1000""",
     "hotel_clouds": f"""WITH {pairs('source', WORDS.replace('FROM documents', "FROM documents WHERE source IN (SELECT source FROM best)")
                                    .replace('lists AS', BEST_SOURCES + ', lists AS'))},
 counted AS (
@@ -380,7 +379,7 @@ counted AS (
 left_over AS (SELECT source, word, CAST(sum(n) AS BIGINT) AS n FROM counted GROUP BY source, word HAVING sum(n) > 0),
 both_kinds AS (SELECT * FROM left_over UNION ALL SELECT source, word, n FROM terms),
 ranks AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, word) AS r FROM both_kinds)
-SELECT source AS name, 'wordcloud-' || source AS file, word, n FROM ranks WHERE r <= 100""",
+SELECT source AS name, 'wordcloud-' || source AS file, word, n FROM ranks WHERE r <= 1000""",
     "report_lines": "WITH " + report(TOP5, "top", None),
     "category_report_lines": "WITH " + report(
         IN_CITY + "," + category_totals("city", "service", "name", "max") + """,
@@ -403,7 +402,7 @@ SELECT name, CAST(i AS INTEGER) AS line_no, l[i + 1] AS line FROM lines, range(0
     "nb_train": f"""WITH {NB_WEIGHTS}
 SELECT term, round(positive, 6) AS positive, round(negative, 6) AS negative FROM weights""",
     "nb_predict": f"""WITH {NB_SCORED}
-SELECT comment_id, review, CASE review WHEN 'positive' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS "reviewIndexed",
+SELECT comment_id, review, CASE review WHEN 'positive' THEN 0.0::DOUBLE WHEN 'negative' THEN 1.0::DOUBLE END AS "reviewIndexed",
        CASE predicted WHEN 'positive' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS prediction,
        predicted AS predicted_review_label, round(log_positive, 4) AS log_positive, round(log_negative, 4) AS log_negative
 FROM scored""",
@@ -424,4 +423,10 @@ SELECT source AS "Model", round(avg(accuracy), 6) AS mean, round(stddev(accuracy
 SELECT source AS "Model", {', '.join(f"round(avg(accuracy) FILTER (lang = '{x}'), 6) AS {x}" for x in ['de', 'en', 'es', 'fr'])}
 FROM found GROUP BY source""",
 }
+ORACLE_SQL["model_input_array"] = """
+SELECT doc_id AS comment_id, CASE WHEN quality = 1 THEN 'positive' ELSE 'negative' END AS review,
+       source || ' ' || lang AS review_text
+FROM labels JOIN documents USING (doc_id)"""
+ORACLE_SQL["metrics_file"] = f"""WITH {rule_metrics('source, lang')}
+SELECT source AS "Model", lang AS data, round(accuracy, 6) AS "Accuracy", round(f1, 6) AS "F1Score" FROM found"""
 ORACLE_SQL["report_file"] = f"SELECT line FROM ({ORACLE_SQL['report_lines']})"

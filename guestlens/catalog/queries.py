@@ -309,7 +309,7 @@ def word_freq(spark, sf):
 def word_freq_by_source(spark, sf):
     counts = words.word_counts(documents(spark, sf), "text", ["source"])
     slug = text.file_slug(F.concat(F.lit("(wordcloud) "), "source")).alias("file")
-    return words.top_words(counts, ["source"], 100).select(slug, "word", "n")
+    return words.top_words(counts, ["source"]).select(slug, "word", "n")
 
 
 @query
@@ -325,7 +325,7 @@ def word_pairs(spark, sf):
 
 @query
 def cloud_terms(spark, sf):
-    return words.cloud_terms(documents(spark, sf), "text", ["lang"], k=200)
+    return words.cloud_terms(documents(spark, sf), "text", ["lang"])
 
 
 @query
@@ -335,7 +335,7 @@ def hotel_clouds(spark, sf):
         F.when(F.col("quality") == 1, labels.POSITIVE).alias("predicted_review_label"),
     )
     reviews = documents(spark, sf).select(F.col("source").alias("name"), "text")
-    return inspect.hotel_clouds(reviews, ranking.top_hotels(rated), "text", 100)
+    return inspect.hotel_clouds(reviews, ranking.top_hotels(rated), "text")
 
 
 # Reports
@@ -396,8 +396,10 @@ def city_table(spark, sf):
 
 
 def _text_rows(spark, sf):
-    """The clean review table, landed once for training and scoring."""
-    return materialize(views.text_reviews(spark, sf), "reviews")
+    """The clean review table, landed by city, for training and scoring."""
+    path = new_path(spark, "reviews")
+    writers.write_table(views.text_reviews(spark, sf), path)
+    return readers.read_table(spark, path)
 
 
 @query
@@ -408,13 +410,13 @@ def nb_terms(spark, sf):
 
 @query
 def nb_train(spark, sf):
-    model = recommend.train_for_city(_text_rows(spark, sf), TEXT_CITY)
-    weights = sentiment.term_weights(model, spark)
+    weights = sentiment.term_weights(nb_terms(spark, sf))
     return weights.select("term", *[six(c).alias(c) for c in sentiment.LABEL_ORDER])
 
 
 def _model_input(reviews):
-    return sampling.split_by_city(reviews, TEXT_CITY)[1].na.drop()
+    """The city's reviews with id and text, labelled or not."""
+    return sampling.split_by_city(reviews, TEXT_CITY)[1].na.drop(subset=["comment_id", "review_text"])
 
 
 @query
@@ -503,11 +505,35 @@ def accuracy_bars(spark, sf):
 
 @query
 def accuracy_side_by_side(spark, sf):
-    langs = ["de", "en", "es", "fr"]
-    sides = metrics.side_by_side(_rule_metrics(spark, sf), langs)
+    found = _rule_metrics(spark, sf)
+    # One column per language found.
+    langs = sorted(row[0] for row in found.select("Prediction Data").distinct().collect() if row[0] is not None)
+    sides = metrics.side_by_side(found, langs)
     return sides.select("Model", *[six(c).alias(c) for c in langs])
 
 
 @query
 def model_compare(spark, sf):
     return compare.compare_models(_text_rows(spark, sf), TEXT_CITY)
+
+
+@query
+def model_input_array(spark, sf):
+    """Labels and texts as one JSON array per file, read with the fixed schema."""
+    path = new_path(spark, "model-input")
+    rated = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "source", "lang"), "doc_id")
+    review = F.when(F.col("quality") == 1, labels.POSITIVE).otherwise(labels.NEGATIVE)
+    record = F.struct(F.col("doc_id").alias("comment_id"), review.alias("review"), F.concat_ws(" ", "source", "lang").alias("review_text"))
+    # One array per source, so the work is shared out.
+    arrays = rated.groupBy("source").agg(F.to_json(F.sort_array(F.collect_list(record))).alias("value"))
+    arrays.select("value").write.text(path)
+    return readers.read_model_input(spark, path)
+
+
+@query
+def metrics_file(spark, sf):
+    """The metrics of the rule, per source and language, through their CSV file."""
+    path = new_path(spark, "metrics")
+    writers.write_csv(_rule_metrics(spark, sf), path)
+    back = readers.read_metrics(spark, path)
+    return back.select("Model", F.col("Prediction Data").alias("data"), six("Accuracy").alias("Accuracy"), six("F1Score").alias("F1Score"))

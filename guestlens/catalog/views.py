@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from guestlens.functions import labels, text
 from guestlens.plans.etl import flat_offerings, nan_to_null
 from guestlens.schemas import ADDRESS, AUTHOR, RATINGS
-from guestlens.sources.readers import read_table, spread
+from guestlens.sources.readers import read_table
 
 CITY, HOTEL, TEXT_CITY = "NATION_7", "Customer#000000007", "city0"
 
@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 def _month_year(ts: str):

@@ -33,12 +33,15 @@ def hotel_at(reviews: DataFrame, city: str, number: int) -> DataFrame:
 
 def hotel_cards(reviews: DataFrame, first_by: str = "comment_id") -> DataFrame:
     """Details of every hotel, taken from its first review by ``first_by``."""
-    details = F.struct("hotel_class", "street_address", "locality", "region", "url")
+    columns = ["hotel_class", "street_address", "locality", "region", "url"]
+    # Reviews are hashed to the few different details first; only those are compared.
     hotels = (
         reviews.where(F.col("name").isNotNull())
+        .groupBy("name", *columns)
+        .agg(F.min(first_by).alias("_first"), F.count("*").alias("_n"))
         .groupBy("name")
-        .agg(F.min(F.struct(F.col(first_by).alias("_first"), details.alias("_d"))).alias("_m"),
-             F.count("*").alias("review_count"))
+        .agg(F.min(F.struct(F.col("_first"), F.struct(*columns).alias("_d"))).alias("_m"),
+             F.sum("_n").alias("review_count"))
         .select("name", "review_count", "_m._d.*")
     )
     return hotels.select(

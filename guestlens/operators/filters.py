@@ -15,10 +15,6 @@ def outside_city(df: DataFrame, city: str) -> DataFrame:
     return df.where(~F.col("locality").eqNullSafe(city))
 
 
-def with_label(df: DataFrame, label: str, column: str = "review") -> DataFrame:
-    return df.where(F.col(column) == label)
-
-
 def of_hotel(df: DataFrame, name: str, city: str | None = None) -> DataFrame:
     """Rows of one hotel; names repeat across cities unless ``city`` is given."""
     rows = df.where(F.col("name") == name)

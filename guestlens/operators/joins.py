@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from guestlens.operators import filters
 
-# The groups treated as hot are the largest ones, this many at most; any other
-# group holds less than 1 / HOT_GROUPS of the rows. Rows of hot groups are
-# spread over SALTS keys.
-HOT_GROUPS = 1024
-SALTS = 1024
+# A group of so many rows or more is hot: its rows stay where they are read.
+# Smaller groups fit a task each, whatever their number.
+HOT_ROWS = 1_000_000
+# Totals of hot groups are broadcast up to this many, a trillion rows' worth.
+MOST_HOT = 1_000_000
 
 
 def merge_reviews_offerings(reviews: DataFrame, offerings: DataFrame, key: str = "offering_id") -> DataFrame:
@@ -36,30 +36,22 @@ def join_totals(
     """Join a table of one row per key back to its rows, safe for hot keys.
 
     A window would pull a whole group into one task, and AQE cannot split a
-    skewed join against an aggregate. So the join is made twice: the totals of
-    the ``HOT_GROUPS`` largest groups by ``size`` are broadcast, that many rows
-    at most; then all totals are joined by key, where rows of hot groups carry
-    a salt that spreads them out and matches nothing.
+    skewed join against an aggregate. So rows of groups of ``HOT_ROWS`` or more
+    by ``size`` meet their totals by broadcast and never enter a shuffle; all
+    other rows are joined by key. The number of hot groups is at most that of
+    all rows by ``HOT_ROWS``; beyond ``MOST_HOT`` of them the planner chooses.
     """
-    columns = rows.columns
-    # Always true of groups. Asked here of both uses, these conditions make them
-    # plan the same shuffle, which then runs once.
-    totals = filters.with_values(totals, keys).where(F.col(size) > 0)
-    hot = totals.orderBy(F.desc(size), *keys).limit(HOT_GROUPS).select(
-        *keys, F.lit(True).alias("_hot"), *[F.col(n).alias(f"_hot_{n}") for n in names]
-    )
-    every = totals.select(
-        *keys, F.lit(0).alias("_salt"), F.lit(True).alias("_cold"), *[F.col(n).alias(f"_cold_{n}") for n in names]
-    )
-    spread = 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(SALTS)).cast("int")
-    salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(spread)
-    )
-    joined = salted.join(every, [*keys, "_salt"], "left")
-    if how == "inner":
-        joined = joined.where(F.col("_hot").isNotNull() | F.col("_cold").isNotNull())
-    found = [F.coalesce(f"_hot_{n}", f"_cold_{n}").alias(n) for n in names]
-    return joined.select(*[F.col(f"`{c}`") for c in columns], *found)
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    totals = filters.with_values(totals, keys).where(F.col(size) > 0).select(*keys, size, *[n for n in names if n != size])
+    is_hot = F.col(size) >= HOT_ROWS
+    hot = totals.where(is_hot)
+    mark = F.broadcast if hot.limit(MOST_HOT + 1).count() <= MOST_HOT else lambda df: df
+    named = [F.col(n).alias(f"_total_{n}") for n in names]
+    met = rows.join(mark(hot.select(*keys, *named)), keys)
+    cold = rows.join(mark(hot.select(*keys)), keys, "left_anti")
+    cold = cold.join(totals.where(~is_hot).select(*keys, *named), keys, how)
+    found = [F.col(f"_total_{n}").alias(n) for n in names]
+    return met.select(*columns, *found).unionByName(cold.select(*columns, *found))
 
 
 def join_predictions(reviews: DataFrame, predictions: DataFrame, key: str = "comment_id") -> DataFrame:
@@ -69,8 +61,9 @@ def join_predictions(reviews: DataFrame, predictions: DataFrame, key: str = "com
     """
     names = [c for c in predictions.columns if c not in (key, *reviews.columns)]
     best = (
-        predictions.groupBy(key)
-        .agg(F.min(F.struct(*names)).alias("_p"), F.count("*").alias("_rows"))
+        predictions.groupBy(key, *names).agg(F.count("*").alias("_n"))
+        .groupBy(key)
+        .agg(F.min(F.struct(*names)).alias("_p"), F.sum("_n").alias("_rows"))
         .select(key, "_rows", "_p.*")
     )
     return join_totals(reviews, best, [key], names, "_rows")

@@ -23,6 +23,10 @@ def _line(cells: list[tuple[Column, Column | int]]) -> Column:
     return F.concat_ws(" ", *[pad_right(value, width) for value, width in cells])
 
 
+# A ranked report is folded into one row.
+MOST_RANKED = 10_000
+
+
 def _numbered(lines: DataFrame, *keep: str) -> DataFrame:
     return lines.select(*keep, F.posexplode("_lines").alias("line_no", "line"))
 
@@ -31,13 +35,15 @@ def ranked_lines(top: DataFrame, score_title: Column | None = None) -> DataFrame
     """Header, rule and one line per hotel of a ranked top-k.
 
     The name column is as wide as the longest name. ``top`` is folded into one
-    row, which its k rows fit by construction.
+    row; a report of more than ``MOST_RANKED`` hotels is refused.
     """
+    fits = F.assert_true(F.count("*") <= MOST_RANKED, F.lit("too many hotels for one report"))
     columns = ["rank", "name", "review_count", "positive_counts"] + (["weighted_avg"] if score_title is not None else [])
     folded = top.agg(
         F.sort_array(F.collect_list(F.struct(*columns))).alias("_rows"),
         F.max(F.length("name")).alias("_width"),
-    ).where(F.col("_width").isNotNull())
+        fits.alias("_fits"),
+    ).where(F.col("_width").isNotNull() & F.col("_fits").isNull())
     width = F.col("_width")
 
     def cells(rank, name, score, count, positive):

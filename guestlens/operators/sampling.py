@@ -24,19 +24,23 @@ HASH_RANGE = 1 << 32
 BUCKETS = 1 << 16
 
 
-def id_hash(key: str, seed: int) -> Column:
-    """32 bits of a seeded MD5 of the id, as a long."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+def id_hash(key: str, seed: int, purpose: str = "sample") -> Column:
+    """32 bits of a seeded MD5 of the id, as a long.
+
+    Hashes for different purposes are independent, so a split of a sample is a
+    split like any other.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(purpose), F.lit(str(seed)), F.col(key).cast("string")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
-def in_sample(key: str, fraction: Column | float, seed: int) -> Column:
-    return id_hash(key, seed) < F.least(F.lit(1.0), F.lit(fraction)) * HASH_RANGE
+def in_sample(key: str, fraction: Column | float, seed: int, purpose: str = "sample") -> Column:
+    return id_hash(key, seed, purpose) < F.least(F.lit(1.0), F.lit(fraction)) * HASH_RANGE
 
 
 def random_split(df: DataFrame, key: str = "comment_id", share: float = TRAIN_SHARE, seed: int = SPLIT_SEED):
     """Two disjoint parts that cover ``df``; rows without an id go to the second."""
-    chosen = F.coalesce(in_sample(key, share, seed), F.lit(False))
+    chosen = F.coalesce(in_sample(key, share, seed, "split"), F.lit(False))
     return df.where(chosen), df.where(~chosen)
 
 

@@ -12,11 +12,12 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     Tokenizer,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from guestlens.functions import labels
+from guestlens.operators.sampling import in_sample
 
 # Settings of the published models, and the class order, which
 # makes ``positive`` index 0 whatever the class sizes are.
@@ -28,12 +29,12 @@ SETTINGS = {
 MODEL_NAMES = {"nb": "Naive Bayes", "rf": "Random Forest Classifier", "svc": "Linear SVC"}
 LABEL_ORDER = [labels.POSITIVE, labels.NEGATIVE]
 VOCAB_SIZE = 1 << 18
+# The forest keeps 4 * vocab_size bytes per training row, so it learns from at
+# most about so many labelled rows, chosen by a hash of their id.
+FOREST_ROWS = 20_000
 TERMS = "words_without_stopwords"
 
 ESTIMATORS = {"nb": NaiveBayes, "rf": RandomForestClassifier, "svc": LinearSVC}
-PREDICTION_COLUMNS = [
-    "comment_id", "review", "review_text", "reviewIndexed", "prediction", "predicted_review_label",
-]
 
 
 def word_stages(stop_words: list[str] | None = None) -> list:
@@ -78,14 +79,18 @@ def fit(
     vocab_size: int = VOCAB_SIZE,
     stop_words: list[str] | None = None,
     seed: int = 13,
+    max_training_rows: int | None = None,
     **settings,
 ) -> PipelineModel:
     """A pipeline from ``review_text`` and ``review`` to a predicted label.
 
     Expects complete rows; ``train`` is read several times, so materialize it.
-    The forest bins every feature of every row into a dense array of
-    ``4 * vocab_size`` bytes; on large data lower ``vocab_size`` for it.
+    ``max_training_rows`` bounds the labelled rows by a sample; the forest, which
+    bins every feature of every row into a dense array, has ``FOREST_ROWS``.
     """
+    most = max_training_rows or (FOREST_ROWS if kind == "rf" else None)
+    if most is not None and "comment_id" in train.columns and (n := train.count()) > most:
+        train = train.where(in_sample("comment_id", most / n, seed, "fit"))
     estimator = ESTIMATORS[kind](
         featuresCol="features", labelCol="reviewIndexed", predictionCol="prediction", **SETTINGS[kind] | settings
     )
@@ -132,13 +137,16 @@ def class_term_counts(train: DataFrame, stop_words: list[str] | None = None) ->
     return _terms(train, stop_words).groupBy("term", "review").agg(F.count("*").alias("n"))
 
 
-def term_weights(model: PipelineModel, spark: SparkSession) -> DataFrame:
-    """Log probability of every vocabulary term per class of a fitted naive Bayes.
+def term_weights(counts: DataFrame) -> DataFrame:
+    """Log probability of every term per class: naive Bayes from ``class_term_counts``.
 
-    At most ``vocab_size`` rows: the parameters live on the driver already.
+    One row per term; totals and vocabulary size are scalar subqueries.
     """
-    vocabulary = next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary
-    theta = model.stages[-2].theta.toArray()
-    rows = zip(vocabulary, *(row.tolist() for row in theta))
-    columns = ", ".join(f"{label} double" for label in LABEL_ORDER)
-    return spark.createDataFrame(list(rows), f"term string, {columns}")
+    by_term = counts.groupBy("term").agg(
+        *[F.sum(F.when(F.col("review") == label, F.col("n")).otherwise(0)).alias(label) for label in LABEL_ORDER]
+    )
+    size = by_term.select(F.count("*")).scalar()
+    return by_term.select(
+        "term",
+        *[(F.log(F.col(c) + 1) - F.log(by_term.select(F.sum(c)).scalar() + size)).alias(c) for c in LABEL_ORDER],
+    )

@@ -22,13 +22,13 @@ def train_for_city(reviews: DataFrame, city: str, kind: str = "nb", seed: int =
 
 
 def score_city(reviews: DataFrame, city: str, model: PipelineModel) -> DataFrame:
-    """The city's complete reviews, all columns, with predicted labels.
+    """The city's reviews with id and text, labelled or not, with predicted labels.
 
     Columns ride through the model, so predictions need no join back.
     """
     text = sampling.review_text(F.col("title"), F.col("text"))
     rows = filters.in_city(reviews, city).withColumn("review_text", text)
-    rows = rows.na.drop(subset=["comment_id", "review", "review_text"])
+    rows = rows.na.drop(subset=["comment_id", "review_text"])
     return sentiment.score(model, rows).drop("review_text", "rawPrediction", "probability")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,23 +39,14 @@ def build_session(app: str = "guestlens", master: str | None = None, **conf: str
     return spark
 
 
-@functools.cache
-def _local_work_dir() -> str:
-    return tempfile.mkdtemp(prefix="guestlens-")
-
-
 def work_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
-    A local session without the setting gets a temporary folder; on a cluster
-    there is no safe guess, so the setting is required.
+    Without ``spark.checkpoint.dir`` it is a folder of the session's warehouse,
+    which executors share as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_work_dir()
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

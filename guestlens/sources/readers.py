@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 from guestlens import schemas
 
 
+# What stands for NULL in a CSV cell, so that an empty string can be itself.
+NULL_CELL = "\\N"
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines, or one JSON array per line, which gives a row per element."""
     return spark.read.schema(schema).json(path)
@@ -24,6 +28,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", NULL_CELL)
+        .option("emptyValue", "")
         .csv(path)
     )
 
@@ -32,16 +38,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share a scan of few partitions out to all cores, for heavy work per row.
-
-    A scan with a partition per core or more, as any large table has, is left
-    as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
     return read_json(spark, path, schemas.REVIEWS_RAW)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from guestlens.sources.readers import NULL_CELL
+
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = "locality", mode: str = "errorifexists") -> None:
     """Parquet, one folder per city, so that a city filter reads one folder.
@@ -20,13 +22,15 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = "locality",
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Gzipped CSV that ``read_csv`` gives back, empty strings as NULL."""
+    """Gzipped CSV that ``read_csv`` gives back."""
     (
         df.write.mode(mode)
         .option("header", True)
         .option("compression", "gzip")
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", NULL_CELL)
+        .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -37,7 +41,12 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
 
+MOST_LINES = 100_000
+
+
 def write_report(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One text file with the lines of a report, which are few, in order."""
+    """One text file with the lines of a report in order; refuses more than ``MOST_LINES``."""
+    if lines.limit(MOST_LINES + 1).count() > MOST_LINES:
+        raise ValueError(f"a report has at most {MOST_LINES} lines")
     one = lines.coalesce(1).sortWithinPartitions("line_no")
     one.select(F.col("line").alias("value")).write.mode(mode).text(path)

@@ -15,13 +15,14 @@ TABLES = (
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

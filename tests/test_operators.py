@@ -69,9 +69,9 @@ def test_repeated_ids_multiply_nothing(spark):
     assert rows(joins.join_predictions(df, predictions)) == [(1, "a", 0.0)]
 
 
-@pytest.mark.parametrize("hot_groups", [0, 2, 1024])
-def test_group_totals_with_and_without_hot_groups(spark, monkeypatch, hot_groups):
-    monkeypatch.setattr(joins, "HOT_GROUPS", hot_groups)
+@pytest.mark.parametrize("hot_rows", [1, 100, 10**6])
+def test_group_totals_with_and_without_hot_groups(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
     data = [("hot", i) for i in range(300)] + [(f"h{i % 40}", i) for i in range(400)] + [(None, 1)]
     df = spark.createDataFrame(data, "name string, x long").repartition(4)
     got = joins.with_group_totals(df, "name", {"n": F.count("*"), "total": F.sum("x")})
@@ -82,6 +82,22 @@ def test_group_totals_with_and_without_hot_groups(spark, monkeypatch, hot_groups
     assert rows(got) == want
 
 
+def test_hot_rows_enter_no_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 10_000)
+    df = spark.range(100_000, numPartitions=8).select(F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("c"), "id")).alias("name"), "id")
+    got = joins.with_group_totals(df, "name", {"n": F.count("*")})
+    sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 100_000 and max(sizes) <= 2 * 100_000 / 8
+    assert got.where("name = 'hot' AND n = 90000").count() == 90_000
+
+
+def test_split_of_a_sample_holds_both_classes(spark):
+    df = spark.range(4000).select(F.col("id").alias("comment_id"), F.when(F.col("id") % 5 > 0, "positive").otherwise("negative").alias("review"))
+    for part, share in zip(sampling.random_split(sampling.balance(df)), (0.8, 0.2)):
+        n = dict(part.groupBy("review").count().collect())
+        assert abs(n["negative"] - 800 * share) < 60 and abs(n["positive"] - 3200 * 0.3 * share) < 80
+
+
 def test_skewed_key_join_is_split(spark):
     """Sort-merge joins of raw tables leave hot keys to AQE."""
     conf = {
@@ -408,7 +424,7 @@ def test_classifiers_learn(spark, opinions, kind, tmp_path):
     sentiment.save(model, str(tmp_path / kind))
     model = sentiment.load(str(tmp_path / kind))
     scored = sentiment.score(model, opinions)
-    assert set(sentiment.PREDICTION_COLUMNS) <= set(scored.columns)
+    assert {"reviewIndexed", "prediction", "predicted_review_label"} <= set(scored.columns)
     assert scored.where("review <> predicted_review_label").count() == 0
     assert scored.where("reviewIndexed <> prediction").count() == 0
 

@@ -5,13 +5,14 @@ import math
 
 import pytest
 
+from guestlens.catalog import oracle, queries
 from tests.conftest import ROOT
 
 spec = importlib.util.spec_from_file_location("spark_entry", ROOT / "__spark_entry__.py")
 entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry)
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries.QUERIES, oracle.ORACLE_SQL
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 # Randomized or iterative estimators have no SQL twin.
 ROWS_ONLY = {"rf_predict", "svc_predict", "model_compare"}

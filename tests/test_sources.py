@@ -81,12 +81,6 @@ def test_report_file_is_one_ordered_file(spark, tmp_path):
     assert [line.split()[0] for line in files[0].read_text().splitlines()[2:]] == ["1", "2", "3", "4", "5"]
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(100, numPartitions=16)
-    assert readers.spread(wide) is wide
-    assert readers.spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 8
-
-
 def test_work_dir_comes_from_the_session(spark, monkeypatch):
     class Conf:
         def get(self, key, default):
@@ -98,16 +92,12 @@ def test_work_dir_comes_from_the_session(spark, monkeypatch):
     assert session.work_dir(Session()) == "hdfs://shared/work"
 
 
-def test_cluster_without_a_shared_folder_is_refused():
+def test_work_dir_falls_back_to_the_warehouse():
     class Session:
         class conf:
-            get = staticmethod(lambda key, default: default)
-
-        class sparkContext:
-            master = "yarn"
+            get = staticmethod(lambda key, default=None: "hdfs://shared/warehouse" if key == "spark.sql.warehouse.dir" else default)
 
-    with pytest.raises(RuntimeError):
-        session.work_dir(Session())
+    assert session.work_dir(Session()) == "hdfs://shared/warehouse/_work"
 
 
 def test_train_and_rank_a_city(spark):
