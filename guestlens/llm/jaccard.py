@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,12 @@ PERCENT = 75
 # gives the same result; this one keeps widely shared passages out of prefixes.
 COMMON = 1 << 18
 _BLOCK = 1 << 22  # shingles counted at once in a task
+# Candidates share so many shingles of their prefixes, or what their sizes ask for.
+SHARED = 4
+# A shared shingle has one of so many hubs among the groups that have it.
+HUBS = 16
+# Turns of hubs, each with others, while a turn links a hundredth of the nodes.
+ROUNDS = 4
 LAST = (1 << 63) - 1  # stands for a null doc_id, which is smaller than none
 _SLOTS = 22  # bits of a hash that name its slot among common ones
 
@@ -149,13 +156,21 @@ def _shared_prefix(a: Column, b: Column) -> Column:
     return F.least(_prefix(a) - a + overlap, _prefix(b) - b + overlap)
 
 
+def _sizes_fit() -> Column:
+    return 100 * F.least("n", "_m") >= PERCENT * F.greatest("n", "_m")
+
+
+def _wanted() -> Column:
+    """How many shared prefix shingles are asked of a pair of sizes n and _m: ``SHARED`` or the bound."""
+    return F.least(F.lit(SHARED), _shared_prefix(F.col("n"), F.col("_m")))
+
+
 def _meet() -> Column:
-    """Sizes n and _m allow a link, and the shared shingle, at places ``at`` and
-    ``_to``, is among the first ones of which sets of these sizes share one."""
+    """Sizes allow a link, and the shared shingle, at places ``at`` and ``_to``, is
+    among the first ones of which sets of these sizes share ``_wanted``."""
     a, b = F.col("n"), F.col("_m")
     overlap = _least_overlap(a, b)
-    sizes = 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
-    return sizes & (F.col("at") <= a - overlap) & (F.col("_to") <= b - overlap)
+    return _sizes_fit() & (F.col("at") < a - overlap + _wanted()) & (F.col("_to") < b - overlap + _wanted())
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, packed: bytes) -> DataFrame:
@@ -180,7 +195,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Equal texts are one node. Nodes with equal prefixes and size are one group.
     Groups that share a prefix shingle are candidates if their sizes and the
     number of shared prefix shingles allow a link. First each group is paired
-    with a representative per shared shingle (a hub, drawn by hash) and groups
+    with one of a few representatives per shared shingle (hubs, by hash) and groups
     are expanded to their members, paired with the group's leader; whole sets
     verify these pairs, and the links found join nodes to components. Then every
     pair of nodes of *different* components that share a prefix shingle is
@@ -214,25 +229,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = materialize(ends.where("_a < _b").select("token"), "shared-tokens")
     hits = materialize(tokens.join(shared, "token", "left_semi").distinct(), "hits")
 
-    hubs = hits.groupBy("token").agg(F.min(F.struct(F.xxhash64("grp", "token").alias("_h"), "grp", "n", "at")).alias("_hub"))
-    hubs = hubs.select("token", F.col("_hub.grp").alias("_g"), F.col("_hub.n").alias("_m"), F.col("_hub.at").alias("_to"))
-    stars = hits.join(materialize(hubs, "hubs"), "token").where((F.col("grp") != F.col("_g")) & _meet())
-    stars = stars.select(F.greatest("grp", "_g").alias("_x"), F.least("grp", "_g").alias("_y")).distinct()
-    of = leaders.select(F.col("grp").alias("_x"), F.col("leader").alias("a"))
-    stars = stars.join(of, "_x").join(of.select(F.col("_x").alias("_y"), F.col("a").alias("b")), "_y").select("a", "b")
-    stars = _by_prefix(materialize(stars, "stars"), worded, nodes)
     members = nodes.join(leaders.select("grp", "leader"), "grp").where("node != leader")
-    pairs = stars.union(members.select(F.col("node").alias("a"), F.col("leader").alias("b")))
-    links = _verified(materialize(pairs, "pairs"), rows, nodes, packed)
-
-    if not links.isEmpty():
-        found = materialize(components(links), "components")
-    else:
-        found = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    within = members.select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    nothing = nodes.select("node", F.col("node").alias("component")).limit(0)
+    all_nodes, links, found = nodes.count(), [], nothing
+    for turn in range(ROUNDS):
+        stars = _by_prefix(materialize(_stars(hits, leaders, found, turn), "stars"), worded, nodes)
+        pairs = stars if links else stars.union(within)
+        new = _verified(materialize(pairs, "pairs"), rows, nodes, packed)
+        size = new.count()
+        if size:
+            links.append(new)
+            found = materialize(components(reduce(DataFrame.union, links)), "components")
+        if 100 * size < all_nodes:
+            break
     rest = _by_prefix(_between(hits, nodes, found), worded, nodes)
     more = _verified(materialize(rest, "rest"), rows, nodes, packed)
     if not more.isEmpty():
-        found = materialize(components(links.union(more)), "components")
+        found = materialize(components(reduce(DataFrame.union, [*links, more])), "components")
 
     labelled = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("_least").alias("_first"))
@@ -248,6 +262,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _stars(hits: DataFrame, leaders: DataFrame, found: DataFrame, turn: int) -> DataFrame:
+    """Pairs of leaders of different components: each group with the hubs of its shared shingles.
+
+    Only guesses that join most of what belongs together: whatever is left out
+    here meets in ``_between``.
+    """
+    own = leaders.withColumnRenamed("leader", "node").join(found, "node", "left")
+    label = own.select("grp", F.col("node").alias("leader"), F.coalesce("component", "node").alias("_c"))
+    label = materialize(label, "group-labels")
+    of_hub = F.xxhash64("grp", F.pmod(F.col("token"), F.lit(HUBS)), F.lit(turn)).alias("_h")
+    open_ = hits.join(label, "grp")
+    hubs = open_.groupBy("token").agg(F.min(F.struct(of_hub, "leader", "n", "_c")).alias("_hub"))
+    hubs = hubs.select("token", F.col("_hub.leader").alias("_g"), F.col("_hub.n").alias("_m"), F.col("_hub._c").alias("_d"))
+    stars = open_.join(materialize(hubs, "hubs"), "token").where((F.col("_c") != F.col("_d")) & _sizes_fit())
+    stars = stars.select(F.greatest("leader", "_g").alias("a"), F.least("leader", "_g").alias("b"), "n", "_m")
+    counted = stars.groupBy("a", "b").agg(F.count("*").alias("_k"), F.min("n").alias("n"), F.min("_m").alias("_m"))
+    return counted.where(F.col("_k") * 2 * HUBS >= _shared_prefix(F.col("n"), F.col("_m"))).select("a", "b")
+
+
 def _by_prefix(pairs: DataFrame, worded: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose prefixes share as many shingles as linked sets do at least."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -274,4 +307,5 @@ def _between(hits: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     pairs = open_.withColumnRenamed("node", "a").join(other, "token").where(
         (F.col("a") < F.col("b")) & (F.col("_c") != F.col("_d")) & _meet()
     )
-    return materialize(pairs.select("a", "b").distinct(), "between")
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("_k"), F.min("n").alias("n"), F.min("_m").alias("_m"))
+    return materialize(counted.where(F.col("_k") >= _wanted()).select("a", "b"), "between")
