@@ -11,7 +11,7 @@ from guestlens.llm.common import BROADCAST_ROWS, join_small, materialize
 # least so many are plain words. Every such run holds one whole aligned block.
 RUN, PLAIN = 13, 8
 BLOCK = RUN // 2 + 1
-NUMBER, UNIT = "\x01", "\x02"
+NUMBER, UNIT, NAME = "\x01", "\x02", "\x03"
 UNITS = (
     "mm cm m km in ft yd mi mg g kg t lb oz ml l gal s sec min h hr hrs day days week weeks month months year years "
     "percent usd eur gbp dollar dollars cent cents euro euros pound pounds inch inches foot feet yard yards mile miles "
@@ -75,23 +75,24 @@ def _opened(df: DataFrame, key: str, at: str, step: int) -> DataFrame:
     return opened.select(key, F.col("_b.at").alias(at), F.explode(hashes).alias("h"))
 
 
-def _leaks(same: str, doc: str, item: str, slot: str) -> Column:
+def _leaks(same: str, doc: str, item: str, slot: str, name: str) -> Column:
     """The places in aligned arrays where a leak of ``RUN`` tokens begins.
 
-    All tokens fit the template, enough of them are plain words, and the slots
-    are consistent: equal values in the item have equal values in the document,
-    different ones different values.
+    All tokens fit the template, enough of them are words that are the same, and
+    slots and names are consistent: equal values in the item have equal values in
+    the document, different ones different values.
     """
 
     def holds(i: Column) -> Column:
         places = F.sequence(i, i + RUN - 1)
-        slots = F.filter(places, lambda k: F.get(slot, k))
+        loose = F.size(F.filter(places, lambda k: F.get(slot, k)))
+        slots = F.filter(places, lambda k: F.get(slot, k) | F.get(name, k))
         mine = F.transform(slots, lambda k: F.get(doc, k))
         theirs = F.transform(slots, lambda k: F.get(item, k))
         pairs = F.size(F.array_distinct(F.arrays_zip(mine, theirs)))
         return (
             F.forall(places, lambda k: F.get(same, k))
-            & (F.size(slots) <= RUN - PLAIN)
+            & (loose <= RUN - PLAIN)
             & (pairs == F.size(F.array_distinct(mine)))
             & (pairs == F.size(F.array_distinct(theirs)))
         )
@@ -143,10 +144,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             mine["_plain"],
             lambda differs, a: differs | a.isin(NUMBER, UNIT),
         ).alias("_slot"),
+        F.transform(theirs["_named"], lambda a: a == NAME).alias("_name"),
     )
     # Written, so that the arrays are not built anew at each place that is looked at.
     aligned = materialize(aligned, "aligned")
-    runs = aligned.select("_row", "item_id", F.size(_leaks("_same", "_doc", "_own", "_slot")).alias("n"))
+    runs = aligned.select("_row", "item_id", F.size(_leaks("_same", "_doc", "_own", "_slot", "_name")).alias("n"))
     return runs.where("n > 0").groupBy("_row", "item_id").agg(F.sum("n").alias("n_runs"))
 
 
