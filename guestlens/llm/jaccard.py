@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -232,21 +231,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = nodes.join(leaders.select("grp", "leader"), "grp").where("node != leader")
     within = members.select(F.col("node").alias("a"), F.col("leader").alias("b"))
     nothing = nodes.select("node", F.col("node").alias("component")).limit(0)
-    all_nodes, links, found = nodes.count(), [], nothing
+    all_nodes, found = nodes.count(), nothing
     for turn in range(ROUNDS):
         stars = _by_prefix(materialize(_stars(hits, leaders, found, turn), "stars"), worded, nodes)
-        pairs = stars if links else stars.union(within)
+        pairs = stars if turn else stars.union(within)
         new = _verified(materialize(pairs, "pairs"), rows, nodes, packed)
         size = new.count()
         if size:
-            links.append(new)
-            found = materialize(components(reduce(DataFrame.union, links)), "components")
+            found = _joined(found, new)
         if 100 * size < all_nodes:
             break
     rest = _by_prefix(_between(hits, nodes, found), worded, nodes)
     more = _verified(materialize(rest, "rest"), rows, nodes, packed)
     if not more.isEmpty():
-        found = materialize(components(reduce(DataFrame.union, [*links, more])), "components")
+        found = _joined(found, more)
 
     labelled = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("_least").alias("_first"))
@@ -262,6 +260,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with further links; a component stands for its links so far by a star."""
+    return materialize(components(found.toDF("a", "b").union(links.select("a", "b"))), "components")
+
+
 def _stars(hits: DataFrame, leaders: DataFrame, found: DataFrame, turn: int) -> DataFrame:
     """Pairs of leaders of different components: each group with the hubs of its shared shingles.
 
