@@ -114,7 +114,7 @@ def _prefixes(packed: bytes):
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),
                 "_row": batch.column("_row"),
-                "node": batch.column("_node"),
+                "same": batch.column("_node"),
                 "n": pa.array(n, pa.int32()),
                 "grp": pa.array(group, pa.int64()),
                 "prefix": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefix))),
@@ -130,7 +130,7 @@ def _sets(packed: bytes):
             own = [_ordered(found, common) for found in _shingles(batch.column("text"))]
             ends = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
             yield pa.RecordBatch.from_pydict(
-                {"node": batch.column("_node"), "members": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own)))}
+                {"node": batch.column("_row"), "members": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own)))}
             )
 
     return run
@@ -172,12 +172,15 @@ def _meet() -> Column:
     return _sizes_fit() & (F.col("at") < a - overlap + _wanted()) & (F.col("_to") < b - overlap + _wanted())
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, packed: bytes) -> DataFrame:
+def _ends(pairs: DataFrame, label: str) -> DataFrame:
+    """The rows that stand for the nodes of the pairs."""
+    return materialize(pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).distinct(), label)
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, packed: bytes) -> DataFrame:
     """Those of the pairs (a, b) whose sets link, by their whole sets."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    needed = materialize(needed.join(nodes.select("node", "_row"), "node").select("_row"), "needed-rows")
-    texts = join_small(rows, needed, ["_row"], "left_semi")
-    sets = materialize(texts.select("text", "_node").mapInArrow(_sets(packed), "node long, members array<long>"), "sets")
+    texts = join_small(rows, _ends(pairs, "needed-rows"), ["_row"], "left_semi")
+    sets = materialize(texts.select("text", "_row").mapInArrow(_sets(packed), "node long, members array<long>"), "sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("_a")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("members").alias("_b")), "b"
     )
@@ -191,7 +194,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     ``stays`` marks one row of each component, the first with its smallest id.
 
-    Equal texts are one node. Nodes with equal prefixes and size are one group.
+    Equal texts are one node, named by the place of its first row. Nodes with equal prefixes and size are one group.
     Groups that share a prefix shingle are candidates if their sizes and the
     number of shared prefix shingles allow a link. First each group is paired
     with one of a few representatives per shared shingle (hubs, by hash) and groups
@@ -211,11 +214,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", "text", F.xxhash64("text").alias("_node"), F.monotonically_increasing_id().alias("_row")
     )
     packed = _common_slots(rows)
-    schema = "doc_id long, _row long, node long, n int, grp long, prefix array<long>"
+    schema = "doc_id long, _row long, same long, n int, grp long, prefix array<long>"
     table = materialize(rows.mapInArrow(_prefixes(packed), schema), "prefixes")
     worded = table.where("n > 0")
-    nodes = worded.groupBy("node").agg(
-        F.min("_row").alias("_row"),
+    nodes = worded.groupBy("same").agg(
+        F.min("_row").alias("node"),
         F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), F.col("_row"))).alias("_least"),
         F.min("n").alias("n"),
         F.min("grp").alias("grp"),
@@ -223,33 +226,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = materialize(nodes, "nodes")
     leaders = materialize(nodes.groupBy("grp").agg(F.min("node").alias("leader"), F.min("n").alias("n")), "groups")
 
-    tokens = worded.select(F.posexplode("prefix").alias("at", "token"), "grp", "n")
+    first = materialize(leaders.select(F.col("leader").alias("_row")), "first-rows")
+    once = join_small(worded.select("_row", "grp", "n", "prefix"), first, ["_row"], "left_semi")
+    tokens = materialize(once, "group-prefixes").select(F.posexplode("prefix").alias("at", "token"), "grp", "n")
     ends = tokens.groupBy("token").agg(F.min("grp").alias("_a"), F.max("grp").alias("_b"))
     shared = materialize(ends.where("_a < _b").select("token"), "shared-tokens")
-    hits = materialize(tokens.join(shared, "token", "left_semi").distinct(), "hits")
+    hits = materialize(tokens.join(shared, "token", "left_semi"), "hits")
 
     members = nodes.join(leaders.select("grp", "leader"), "grp").where("node != leader")
     within = members.select(F.col("node").alias("a"), F.col("leader").alias("b"))
     nothing = nodes.select("node", F.col("node").alias("component")).limit(0)
     all_nodes, found = nodes.count(), nothing
     for turn in range(ROUNDS):
-        stars = _by_prefix(materialize(_stars(hits, leaders, found, turn), "stars"), worded, nodes)
+        stars = _by_prefix(materialize(_stars(hits, leaders, found, turn), "stars"), worded)
         pairs = stars if turn else stars.union(within)
-        new = _verified(materialize(pairs, "pairs"), rows, nodes, packed)
+        new = _verified(materialize(pairs, "pairs"), rows, packed)
         size = new.count()
         if size:
             found = _joined(found, new)
         if 100 * size < all_nodes:
             break
-    rest = _by_prefix(_between(hits, nodes, found), worded, nodes)
-    more = _verified(materialize(rest, "rest"), rows, nodes, packed)
+    rest = _by_prefix(_between(hits, nodes, found), worded)
+    more = _verified(materialize(rest, "rest"), rows, packed)
     if not more.isEmpty():
         found = _joined(found, more)
 
-    labelled = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = join_small(nodes, found, ["node"], "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("_least").alias("_first"))
-    of_node = materialize(labelled.join(least, "component").select("node", "_first"), "component-ids")
-    final = join_small(table.select("doc_id", "node", "n", "_row"), of_node, ["node"], "left", F.col("_row"))
+    of_node = materialize(labelled.join(least, "component").select("same", "_first"), "component-ids")
+    final = join_small(table.select("doc_id", "same", "n", "_row"), of_node, ["same"], "left", F.col("_row"))
     alone = F.col("n") == 0
     return final.select(
         "_row",
@@ -271,11 +276,11 @@ def _stars(hits: DataFrame, leaders: DataFrame, found: DataFrame, turn: int) ->
     Only guesses that join most of what belongs together: whatever is left out
     here meets in ``_between``.
     """
-    own = leaders.withColumnRenamed("leader", "node").join(found, "node", "left")
+    own = join_small(leaders.withColumnRenamed("leader", "node"), found, ["node"], "left")
     label = own.select("grp", F.col("node").alias("leader"), F.coalesce("component", "node").alias("_c"))
     label = materialize(label, "group-labels")
     of_hub = F.xxhash64("grp", F.pmod(F.col("token"), F.lit(HUBS)), F.lit(turn)).alias("_h")
-    open_ = hits.join(label, "grp")
+    open_ = join_small(hits, label, ["grp"], "inner")
     hubs = open_.groupBy("token").agg(F.min(F.struct(of_hub, "leader", "n", "_c")).alias("_hub"))
     hubs = hubs.select("token", F.col("_hub.leader").alias("_g"), F.col("_hub.n").alias("_m"), F.col("_hub._c").alias("_d"))
     stars = open_.join(materialize(hubs, "hubs"), "token").where((F.col("_c") != F.col("_d")) & _sizes_fit())
@@ -284,11 +289,10 @@ def _stars(hits: DataFrame, leaders: DataFrame, found: DataFrame, turn: int) ->
     return counted.where(F.col("_k") * 2 * HUBS >= _shared_prefix(F.col("n"), F.col("_m"))).select("a", "b")
 
 
-def _by_prefix(pairs: DataFrame, worded: DataFrame, nodes: DataFrame) -> DataFrame:
+def _by_prefix(pairs: DataFrame, worded: DataFrame) -> DataFrame:
     """Pairs whose prefixes share as many shingles as linked sets do at least."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    rows = materialize(needed.join(nodes.select("node", "_row"), "node").select("_row"), "prefix-rows")
-    own = materialize(worded.select("node", "_row", "n", "prefix").join(rows, "_row", "left_semi").drop("_row"), "prefix-own")
+    own = join_small(worded.select("_row", "n", "prefix"), _ends(pairs, "prefix-rows"), ["_row"], "left_semi")
+    own = materialize(own.withColumnRenamed("_row", "node"), "prefix-own")
     both = pairs.join(own.select(F.col("node").alias("a"), F.col("n").alias("_n"), F.col("prefix").alias("_p")), "a").join(
         own.select(F.col("node").alias("b"), F.col("n").alias("_m"), F.col("prefix").alias("_q")), "b"
     )
@@ -298,11 +302,11 @@ def _by_prefix(pairs: DataFrame, worded: DataFrame, nodes: DataFrame) -> DataFra
 
 def _between(hits: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs of nodes of different components that their prefixes allow to link."""
-    label = nodes.join(found, "node", "left").select("grp", "node", F.coalesce("component", "node").alias("_c"))
-    open_ = hits.join(materialize(label, "labels"), "grp")
+    label = join_small(nodes, found, ["node"], "left").select("grp", "node", F.coalesce("component", "node").alias("_c"))
+    open_ = join_small(hits, materialize(label, "labels"), ["grp"], "inner")
     ends = open_.groupBy("token").agg(F.min("_c").alias("_a"), F.max("_c").alias("_b"))
     mixed = materialize(ends.where("_a < _b").select("token"), "open-tokens")
-    open_ = open_.join(mixed, "token", "left_semi").select("token", "node", "_c", "n", "at")
+    open_ = join_small(open_, mixed, ["token"], "left_semi").select("token", "node", "_c", "n", "at")
     open_ = materialize(open_, "open-hits")
     other = open_.select(
         "token", F.col("node").alias("b"), F.col("_c").alias("_d"), F.col("n").alias("_m"), F.col("at").alias("_to")
