@@ -201,8 +201,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     are expanded to their members, paired with the group's leader; whole sets
     verify these pairs, and the links found join nodes to components. Then every
     pair of nodes of *different* components that share a prefix shingle is
-    checked, so no link between components is lost, while copies of one text in
-    many variants never meet all against all.
+    checked, be they of two groups or of one, so no link between components is
+    lost, while copies of one text in many variants never meet all against all.
 
     Null and empty texts, and texts without words, have no shingles and link
     with nothing; their component is their own doc_id. A text of fewer than five
@@ -224,7 +224,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("grp").alias("grp"),
     )
     nodes = materialize(nodes, "nodes")
-    leaders = materialize(nodes.groupBy("grp").agg(F.min("node").alias("leader"), F.min("n").alias("n")), "groups")
+    leaders = nodes.groupBy("grp").agg(F.min("node").alias("leader"), F.min("n").alias("n"), F.max("node").alias("_last"))
+    leaders = materialize(leaders, "groups")
 
     first = materialize(leaders.select(F.col("leader").alias("_row")), "first-rows")
     once = join_small(worded.select("_row", "grp", "n", "prefix"), first, ["_row"], "left_semi")
@@ -232,6 +233,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ends = tokens.groupBy("token").agg(F.min("grp").alias("_a"), F.max("grp").alias("_b"))
     shared = materialize(ends.where("_a < _b").select("token"), "shared-tokens")
     hits = materialize(tokens.join(shared, "token", "left_semi"), "hits")
+    # The prefix of a group of two or more nodes is shared, whatever other groups have.
+    several = materialize(leaders.where("leader < _last").select("grp"), "several")
+    inside = join_small(tokens, several, ["grp"], "left_semi")
+    shared_hits = materialize(hits.union(inside.join(shared, "token", "left_anti").select(*hits.columns)), "shared-hits")
 
     members = nodes.join(leaders.select("grp", "leader"), "grp").where("node != leader")
     within = members.select(F.col("node").alias("a"), F.col("leader").alias("b"))
@@ -246,7 +251,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             found = _joined(found, new)
         if 100 * size < all_nodes:
             break
-    rest = _by_prefix(_between(hits, nodes, found), worded)
+    rest = _by_prefix(_between(shared_hits, nodes, found), worded)
     more = _verified(materialize(rest, "rest"), rows, packed)
     if not more.isEmpty():
         found = _joined(found, more)

@@ -246,6 +246,20 @@ def test_jaccard(request, name):
     assert sum(r.stays for r in found) == len(set(group))
 
 
+def test_jaccard_inside_one_group(spark, tmp_path, monkeypatch):
+    """Two texts with equal prefixes that link with each other, but not with the first of their group."""
+    monkeypatch.setattr(jaccard, "COMMON", 0)  # any order gives the same result
+    pairs = []
+    for i in range(60):
+        w = [f"g{i}w{k}" for k in range(11)]
+        core = " ".join(w[1:10])
+        pairs += [(10 * i, f"x{i} {core} y{i}"), (10 * i + 1, f"{w[0]} {core} p{i}"), (10 * i + 2, f"{w[0]} {core} q{i}")]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(pairs, "doc_id long, text string").coalesce(1).write.parquet(path)
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(spark.read.parquet(path)).collect()}
+    assert got == {i: i - (i % 10 == 2) for i, _ in pairs}
+
+
 def test_prefix_bound():
     """Linked sets share as many prefix shingles as the bound says, at all sizes."""
     draw = np.random.default_rng(1)
