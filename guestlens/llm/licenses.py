@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guestlens.llm.common import join_small, materialize
 
-# Notices, and the whole texts of short licences.
+# Notices, and the whole texts of short licences. Those of all others are files.
 KNOWN = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -48,12 +51,33 @@ SPELLINGS = (
     ("organisation", "organization"), ("noncommercial", "non commercial"), ("favour", "favor"), ("honour", "honor"),
     ("acknowledgement", "acknowledgment"), ("fulfil ", "fulfill "), ("judgement", "judgment"), ("merchantibility", "merchantability"),
 )
+# The published texts, one file per licence and wording ("name.txt", "name+wording.txt"), read by the driver.
+FOLDER = Path(__file__).parent / "known_licenses"
+# Other headings of the texts whose first paragraph is one.
+HEADINGS = {
+    "MIT": ("The MIT License", "The MIT License (MIT)"),
+    "ISC": ("The ISC License", "ISC License (ISC)"),
+    "BSD-2-Clause": ("The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": ("The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'),
+}
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+_YEAR = r"[<\[{(]?(?:year|yyyy|(?:19|20)[0-9]{2})(?![\p{L}0-9])"
+_HOLDER = r"(?!(?:Notice|Holder|Owner|Licen[sc]e|Law|Statement|Act|Interest|Treat|Permission|Disclaimer|Right|Protection)(?:s|y|ies)?\b)\p{Lu}"
+# Lines that state a copyright: the word with a sign, a year or a holder's name. Wrapped
+# lines of a licence that begin with the word, or with an item "(c)", are none.
+STATEMENT = (
+    r"(^|\n)[ \t]*(?:"
+    rf"(?i:copyright)[ \t,:]*(?:(?i:by)[ \t]+)?(?i:\(c\)|©|&copy;|{_YEAR})[^\n]*"
+    rf"|Copyright:?[ \t]+(?:(?:by|the|The)[ \t]+)?{_HOLDER}[^\n]*"
+    rf"|(?i:\(c\)[ \t]*(?:copyright|{_YEAR}))[^\n]*|(?i:\(c\)[^\n]*all rights reserved)[^\n]*"
+    r"|(?:©|&copy;)[^\n]*"
+    r"|(?i:all rights reserved)[ \t\r.!]*(?=\n|$))"
+)
 
 
 def canonical_lines(text: Column) -> Column:
-    """Lower case, without copyright lines, one spelling, marks as single spaces; line ends stay."""
-    text = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "\n")
+    """Lower case, without copyright statements, one spelling, marks as single spaces; line ends stay."""
+    text = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), STATEMENT, "\n"))
     for other, one in SPELLINGS:
         text = F.replace(text, F.lit(other), F.lit(one))
     return F.regexp_replace(text, r"[^a-z0-9\n]+", " ")
@@ -64,11 +88,29 @@ def canonical(lines: Column) -> Column:
     return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(digest, license) of the known texts, one row per digest."""
-    rows = spark.createDataFrame(list(known), "license string, text string")
+def full_texts(folder: Path = FOLDER) -> list[tuple[str, str]]:
+    """(license, text) of the whole licences in the folder, as they are published.
+
+    Each stands with and without its heading (the first paragraph) and the part
+    that follows its terms, and with either form of the links in it.
+    """
+    found = []
+    for file in sorted(folder.glob("*.txt")):
+        name, text = file.stem.split("+")[0], file.read_text(encoding="utf-8").strip()
+        heading, body = re.split(r"\n[ \t]*\n", text, maxsplit=1)
+        begins = [text, body, *(f"{h}\n\n{body}" for h in HEADINGS.get(name, ()))] if len(heading) < 200 else [text]
+        ends = [(b, re.split(r"(?<=END OF TERMS AND CONDITIONS)\s", b)[0]) for b in begins]
+        for whole in dict.fromkeys(b for pair in ends for b in pair):
+            found += [(name, whole), (name, whole.replace("http://", "https://")), (name, whole.replace("https://", "http://"))]
+    return list(dict.fromkeys(found))
+
+
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, folder: Path | None = FOLDER) -> DataFrame:
+    """(digest, license) of the known texts and of the whole licences in the folder, one row per digest."""
+    texts = [*known, *(full_texts(folder) if folder else ())]
+    rows = spark.createDataFrame(texts, "license string, text string")
     digests = rows.select(F.md5(canonical(canonical_lines(F.col("text")))).alias("digest"), "license")
-    return digests.groupBy("digest").agg(F.min("license").alias("license"))
+    return materialize(digests.groupBy("digest").agg(F.min("license").alias("license")), "known-licenses")
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -100,7 +142,8 @@ def _sql_string(text: str) -> str:
 
 
 def scan_sql(known: tuple[tuple[str, str], ...] = KNOWN) -> str:
-    """The same scan in DuckDB's SQL."""
+    """The scan in DuckDB's SQL, by the notices and short licences alone and without any line that begins like a
+    copyright statement: the same as ``scan`` where no text has a longer licence or such a line of other meaning."""
 
     def lines(text: str) -> str:
         out = f"regexp_replace(lower(coalesce({text}, '')), {_sql_string(COPYRIGHT_LINE)}, chr(10), 'g')"

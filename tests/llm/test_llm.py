@@ -3,6 +3,7 @@
 import hashlib
 import io
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -392,6 +393,58 @@ def test_whole_licence_in_other_words(spark, odd, none):
     assert licenses.scan(none, licenses.known_digests(spark)).count() == 0
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2021 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+ISC_FILE = """ISC License
+
+Copyright Some Body Inc.
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.
+"""
+
+
+def test_published_licence_files(spark):
+    apache = (licenses.FOLDER / "Apache-2.0.txt").read_text()
+    filled = apache.replace("[yyyy] [name of copyright owner]", "2020 Some Body")
+    rewrapped = "\n\n".join(textwrap.fill(" ".join(p.split()), 50) for p in re.split(r"\n[ \t]*\n", filled))
+    headless = MIT_FILE.split("\n\n", 1)[1]
+    texts = [MIT_FILE, headless, MIT_FILE.replace("MIT License", "The MIT License (MIT)"), ISC_FILE, apache, rewrapped,
+             (licenses.FOLDER / "GPL-3.0.txt").read_text().replace("http://", "https://"), MIT_FILE + "but not on Sundays"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = licenses.scan(df, licenses.known_digests(spark)).orderBy("doc_id").collect()
+    assert [r.license for r in rows] == ["MIT", "MIT", "MIT", "ISC", "Apache-2.0", "Apache-2.0", "GPL-3.0", None]
+
+
 # Toxicity
 
 
