@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,13 @@ from guestlens.llm.common import BROADCAST_ROWS, join_small, materialize
 
 # A leak is a run of so many tokens with the template of an item, in which at
 # least so many are plain words. Every such run holds one whole aligned block.
+# Of an item with fewer tokens the run is the whole item, with as great a share
+# of plain words.
 RUN, PLAIN = 13, 8
 BLOCK = RUN // 2 + 1
+# Per set of a block's places that hold names, as bits: the sets of places that
+# may have other names in a leak.
+_SUBSETS = [[s for s in range(1 << BLOCK) if not s & ~names and s.bit_count() <= RUN - PLAIN] for names in range(1 << BLOCK)]
 NUMBER, UNIT, NAME = "\x01", "\x02", "\x03"
 UNITS = (
     "mm cm m km in ft yd mi mg g kg t lb oz ml l gal s sec min h hr hrs day days week weeks month months year years "
@@ -61,22 +68,33 @@ def _with_tokens(df: DataFrame) -> DataFrame:
     return _with_templates(df).withColumn("_raw", raw)
 
 
-def _opened(df: DataFrame, key: str, at: str, step: int) -> DataFrame:
-    """(key, at, h): hashes of the blocks, of either template, that begin at every ``step``-th token."""
-    last = F.size("_plain") - BLOCK
+def _opened(df: DataFrame, key: str, at: str, step: int, size: int = BLOCK) -> DataFrame:
+    """(key, at, h): hashes of the blocks of ``size`` tokens that begin at every ``step``-th token.
+
+    A block has one hash per choice of its names that are marked; all others are
+    plain words. Two blocks whose tokens are equal or both names, at each place,
+    share the hash that marks the names that differ.
+    """
+    last = F.size("_plain") - size
     starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
+    bits = range(size)
+    subsets = F.array(*[F.array(*[F.lit(s) for s in own]) for own in _SUBSETS[: 1 << size]])
+
+    def names(i: Column) -> Column:
+        return sum((F.when(F.get("_named", i + j) == NAME, 1 << j).otherwise(0) for j in bits), F.lit(0))
 
-    def block(tokens: str, i: Column) -> Column:
-        return F.xxhash64(*[F.get(tokens, i + j) for j in range(BLOCK)])
+    def block(i: Column, marked: Column) -> Column:
+        tokens = [F.when(marked.bitwiseAND(F.lit(1 << j)) != 0, NAME).otherwise(F.get("_plain", i + j)) for j in bits]
+        return F.xxhash64(*tokens)
 
-    both = F.transform(starts, lambda i: F.struct(i.alias("at"), block("_plain", i).alias("p"), block("_named", i).alias("q")))
-    opened = df.select(key, F.explode(both).alias("_b"))
-    hashes = F.array_distinct(F.array("_b.p", "_b.q"))
-    return opened.select(key, F.col("_b.at").alias(at), F.explode(hashes).alias("h"))
+    opened = df.select(key, "_plain", F.explode(F.transform(starts, lambda i: F.struct(i.alias("at"), names(i).alias("names")))).alias("_b"))
+    plain = F.slice("_plain", F.col("_b.at") + 1, size)
+    opened = opened.select(key, F.col("_b.at").alias(at), plain.alias("_plain"), F.explode(F.get(subsets, F.col("_b.names"))).alias("_s"))
+    return opened.select(key, at, block(F.lit(0), F.col("_s")).alias("h"))
 
 
-def _leaks(same: str, doc: str, item: str, slot: str, name: str) -> Column:
-    """The places in aligned arrays where a leak of ``RUN`` tokens begins.
+def _leaks(same: str, doc: str, item: str, slot: str, name: str, run: str) -> Column:
+    """The places in aligned arrays where a leak of ``run`` tokens begins.
 
     All tokens fit the template, enough of them are words that are the same, and
     slots and names are consistent: equal values in the item have equal values in
@@ -84,7 +102,7 @@ def _leaks(same: str, doc: str, item: str, slot: str, name: str) -> Column:
     """
 
     def holds(i: Column) -> Column:
-        places = F.sequence(i, i + RUN - 1)
+        places = F.sequence(i, i + F.col(run) - 1)
         loose = F.size(F.filter(places, lambda k: F.get(slot, k)))
         slots = F.filter(places, lambda k: F.get(slot, k) | F.get(name, k))
         mine = F.transform(slots, lambda k: F.get(doc, k))
@@ -92,12 +110,12 @@ def _leaks(same: str, doc: str, item: str, slot: str, name: str) -> Column:
         pairs = F.size(F.array_distinct(F.arrays_zip(mine, theirs)))
         return (
             F.forall(places, lambda k: F.get(same, k))
-            & (loose <= RUN - PLAIN)
+            & (RUN * loose <= (RUN - PLAIN) * F.col(run))
             & (pairs == F.size(F.array_distinct(mine)))
             & (pairs == F.size(F.array_distinct(theirs)))
         )
 
-    last = F.size(same) - RUN
+    last = F.size(same) - F.col(run)
     return F.when(last >= 0, F.filter(F.sequence(F.lit(0), last), holds)).otherwise(F.array().cast("array<int>"))
 
 
@@ -106,14 +124,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Every block of an item's template, at all places, is hash-joined with the
     blocks of a document's template that follow one another. A leak of ``RUN``
-    tokens holds one of those whole, so none is missed. Pairs that meet are
-    aligned and checked token by token.
+    tokens holds one of those whole, under the rule by which the tokens are
+    checked, so none is missed. Blocks follow more closely, or are shorter, where
+    an item has fewer tokens. Pairs that meet are aligned and checked token by token.
     """
     items = _with_tokens(benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct())
-    items = items.withColumn("_item", F.xxhash64("item_id", "text"))
+    items = items.withColumn("_item", F.xxhash64("item_id", "text")).where(F.size("_raw") > 0)
     items = materialize(items.select("_item", "item_id", "_raw", "_plain", "_named"), "items")
-    wanted = materialize(_opened(items, "_item", "_off", 1).distinct(), "item-blocks")
-    blocks = _opened(_with_templates(docs.select("_row", "text")).select("_row", "_plain", "_named"), "_row", "_at", BLOCK)
+    tokens = _with_templates(docs.select("_row", "text")).select("_row", "_plain", "_named")
+    # Per size of blocks (of at most BLOCK tokens) the smallest run that has to hold one.
+    run = F.least(F.size("_raw"), F.lit(RUN))
+    sizes = items.groupBy(F.least(run, F.lit(BLOCK)).alias("size")).agg(F.min(run).alias("run")).collect()
+    own, blocks = [], []
+    for size, least in sizes:
+        own.append(_opened(items.where(F.least(run, F.lit(BLOCK)) == size), "_item", "_off", 1, size))
+        blocks.append(_opened(tokens, "_row", "_at", least - size + 1, size))
+    own = own or [_opened(items, "_item", "_off", 1)]
+    blocks = blocks or [_opened(tokens.limit(0), "_row", "_at", BLOCK)]
+    wanted = materialize(reduce(DataFrame.union, own).distinct(), "item-blocks")
+    blocks = reduce(DataFrame.union, blocks)
     # Items are a stated query set, but their number is checked all the same.
     small = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     met = blocks.join(small, "h").select("_row", "_item", (F.col("_at") - F.col("_off")).alias("_shift")).distinct()
@@ -145,10 +174,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             lambda differs, a: differs | a.isin(NUMBER, UNIT),
         ).alias("_slot"),
         F.transform(theirs["_named"], lambda a: a == NAME).alias("_name"),
+        F.least(F.size("_raw2"), F.lit(RUN)).alias("_run"),
     )
     # Written, so that the arrays are not built anew at each place that is looked at.
     aligned = materialize(aligned, "aligned")
-    runs = aligned.select("_row", "item_id", F.size(_leaks("_same", "_doc", "_own", "_slot", "_name")).alias("n"))
+    runs = aligned.select("_row", "item_id", F.size(_leaks("_same", "_doc", "_own", "_slot", "_name", "_run")).alias("n"))
     return runs.where("n > 0").groupBy("_row", "item_id").agg(F.sum("n").alias("n_runs"))
 
 
@@ -156,8 +186,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> Dat
     """``keep`` columns of every document, and contaminated, item_ids (ascending), n_runs.
 
     Copies of benchmark passages are found whatever their case, punctuation and
-    white space, and with other numbers, units or names in their places. Null
-    and empty texts, texts and items of fewer than 13 tokens match nothing.
+    white space, and with other numbers, units or names in their places. An item
+    of fewer than 13 tokens is matched as a whole. Null and empty texts and items
+    match nothing.
     Items without an id are left out; equal items count once. Repeated rows are
     judged alike. Empty tables give no leaks. ``docs`` is a table, as rows are
     told apart by their place in its files.

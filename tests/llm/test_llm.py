@@ -358,6 +358,17 @@ def test_leaks_verbatim_and_re_parameterised(spark):
     assert found == [[0], [0], [0], [], [], [], [], [0], [], [1]]
 
 
+def test_leaks_at_all_places_and_of_short_items(spark):
+    item = "Tom has 12 red apples. Each day Anna eats 3 of them. How many remain now"
+    renamed = "Kim has 40 red apples; each day Bo eats 9 of them. How many remain now"
+    assert leaks(spark, ["x " * k + renamed for k in range(14)], (item,)) == [[0]] * 14
+    short, shorter = "Why does Tom sing in the rain", "Name nine red birds"
+    inside = "so we ask why does Ann SING in the Rain today"
+    found = leaks(spark, [inside.replace("why does Ann", "Why does Kim"), "x " * 5 + "name nine RED birds.", "why does it sing in rain", "name nine", inside + " y", ""], (short, shorter, "", "How old is Al now, and how old was Tom"))
+    assert found == [[0], [1], [], [], [0], []]
+    assert leaks(spark, ["x " * k + "How old is Bo now, and how old was Kim then" for k in range(9)], ("How old is Al now, and how old was Tom",)) == [[0]] * 9
+
+
 def test_leaks_of_documents(spark, docs, texts, sf, odd, none):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")
     cut = lambda t: re.findall(r"[a-zà-ÿß]+", t.lower())
