@@ -517,16 +517,25 @@ def model_compare(spark, sf):
     return compare.compare_models(_text_rows(spark, sf), TEXT_CITY)
 
 
+# A JSON array has about so many records.
+ARRAY_ROWS = 10_000
+
+
+def _arrays(rated, record):
+    """(value): JSON arrays of the records, of one source each; a source has as many as its rows need."""
+    parts = rated.count() // ARRAY_ROWS + 1
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).alias("_part")
+    return rated.groupBy("source", part).agg(F.to_json(F.sort_array(F.collect_list(record))).alias("value")).select("value")
+
+
 @query
 def model_input_array(spark, sf):
-    """Labels and texts as one JSON array per file, read with the fixed schema."""
+    """Labels and texts as JSON arrays, one per line, read with the fixed schema."""
     path = new_path(spark, "model-input")
     rated = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "source", "lang"), "doc_id")
     review = F.when(F.col("quality") == 1, labels.POSITIVE).otherwise(labels.NEGATIVE)
     record = F.struct(F.col("doc_id").alias("comment_id"), review.alias("review"), F.concat_ws(" ", "source", "lang").alias("review_text"))
-    # One array per source, so the work is shared out.
-    arrays = rated.groupBy("source").agg(F.to_json(F.sort_array(F.collect_list(record))).alias("value"))
-    arrays.select("value").write.text(path)
+    _arrays(rated, record).write.text(path)
     return readers.read_model_input(spark, path)
 
 

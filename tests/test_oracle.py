@@ -1,9 +1,11 @@
 """Every query against its SQL twin: names, types, rows."""
 
 import importlib.util
+import json
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from guestlens.catalog import oracle, queries
 from tests.conftest import ROOT
@@ -41,6 +43,13 @@ def test_matches_sql(spark, sf, duck, name):
     assert mine == theirs
 
 
+def test_arrays_of_one_source_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(queries, "ARRAY_ROWS", 100)
+    rated = spark.range(3000).selectExpr("id AS doc_id", "'one' AS source")
+    sizes = [len(json.loads(r.value)) for r in queries._arrays(rated, F.struct("doc_id")).collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 200
+
+
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert [row["rank"] for row in rows] == [1, 2, 3]
