@@ -1,11 +1,13 @@
 """Readers, writers and the work folder."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from guestlens import schemas, session
+from guestlens.catalog.queries import QUERIES
 from guestlens.operators import reports
 from guestlens.plans import etl, recommend
 from guestlens.sources import readers, writers
@@ -100,6 +102,71 @@ def test_work_dir_falls_back_to_the_warehouse():
     assert session.work_dir(Session()) == "hdfs://shared/warehouse/_work"
 
 
+def test_machine_local_work_dir_is_refused_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: "file:/tmp/warehouse" if key == "spark.sql.warehouse.dir" else default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.work_dir(Session())
+    Session.sparkContext.master = "local[2]"
+    assert session.work_dir(Session()) == "file:/tmp/warehouse/_work"
+
+
+def files_below(path):
+    return [f for f in Path(path.removeprefix("file:")).rglob("*") if f.is_file()]
+
+
+def test_scratch_deletes_what_its_block_wrote(spark):
+    before = session.materialize(spark.range(5), "before")
+    with session.scratch(spark) as folder:
+        inner = session.materialize(spark.range(10), "inner")
+        with session.scratch(spark) as nested:
+            assert nested.startswith(folder) and session.new_path(spark, "x").startswith(nested)
+            session.materialize(spark.range(10), "nested")
+        assert inner.count() == 10 and files_below(folder) and not files_below(nested)
+    assert not Path(folder.removeprefix("file:")).exists() and before.count() == 5
+    with pytest.raises(RuntimeError):
+        with session.scratch(spark) as folder:
+            session.materialize(spark.range(10), "failed")
+            raise RuntimeError
+    assert not Path(folder.removeprefix("file:")).exists()
+    assert not session.new_path(spark, "x").startswith(folder)
+
+
+def test_landed_keeps_the_result_alone(spark):
+    folders = []
+
+    def make():
+        folders.append(session.new_path(spark, "x").rsplit("/", 1)[0])
+        return session.materialize(spark.range(10), "a").join(session.materialize(spark.range(5), "b"), "id")
+
+    assert session.landed(spark, "result", make).count() == 5
+    assert not Path(folders[0].removeprefix("file:")).exists()
+
+
+def test_a_query_leaves_nothing_in_its_scratch_folder(spark, sf):
+    with session.scratch(spark) as folder:
+        assert QUERIES["nb_saved"](spark, sf).count() > 0
+        assert files_below(folder)
+    assert not Path(folder.removeprefix("file:")).exists()
+
+
+def test_materialize_drops_shuffle_files(spark):
+    def blocks():
+        store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return store.getAllFiles().size()
+
+    df = spark.range(1000).groupBy(F.expr("id % 7").alias("k")).count()
+    before = blocks()
+    session.materialize(df, "shuffled")
+    assert blocks() <= before
+    assert spark.conf.get(session.CLEAN_SHUFFLES) == "false"
+
+
 def test_train_and_rank_a_city(spark):
     """The whole menu: train elsewhere, score a city, rank its hotels."""
     good, bad = "great lovely clean", "dirty rude noisy"
