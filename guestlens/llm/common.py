@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from guestlens.session import landed, materialize, new_path, scratch, work_dir  # noqa: F401
+
 # A small side is broadcast up to this many rows; above, both sides are shuffled.
 BROADCAST_ROWS = 200_000
 # Rows of a hot key are spread over this many shuffle keys.
@@ -23,33 +24,6 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where that is unset, as in tests, a folder in the session's warehouse.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the work folder that nothing else uses."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the work folder and read it back; this cuts the lineage.
-
-    The shuffle files of the finished job are of no more use. Spark drops them
-    once the JVM has noticed that, hence the hint to collect garbage.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def join_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str, spread: Column | None = None) -> DataFrame:
     """Join rows to a table with one row per key.
 

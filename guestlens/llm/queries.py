@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import jaccard, licenses, mixing, quality_model, quality_rules, repeats, sharding, templates, tokens, toxicity
+from guestlens.llm import (
+    infill, jaccard, language_id, licenses, mixing, quality_model, quality_rules, repeats, sharding, spelling, templates,
+    tokens, toxicity,
+)
 from guestlens.llm.common import read
 
 
@@ -55,6 +58,18 @@ def license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(read(spark, sf, "documents"), licenses.known_digests(spark))
 
 
+def spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf, "documents"))
+
+
+def fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return infill.infill_digests(read(spark, sf, "documents"))
+
+
+def identify_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.identify(read(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_sharding": sample_sharding,
     "op2_quality_classifier": quality_classifier,
@@ -66,8 +81,12 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join,
     "op9_license_scan": license_scan,
     "op10_toxicity": toxicity_scores,
+    "op11_spelling_variants": spelling_variants,
+    "op12_fill_in_middle": fill_in_middle,
+    "op13_language_id": identify_language,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op9_license_scan": licenses.scan_sql(),
+    "op12_fill_in_middle": infill.infill_sql(),
 }
