@@ -10,6 +10,7 @@ decompresses only the frames of the documents that it is asked for.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -33,22 +34,38 @@ SKIPPABLE, INDEX, FOOTER = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
 END_ID = 2
 FRAME_IDS = 1 << 20  # ids in one frame at most
-CACHE = 400_000  # words and pieces whose ids a worker remembers
-# Words that the fast path may cut itself: printable ASCII and accented Latin
-# letters, which are normal as they stand. The pattern is the vocabulary's own
-# for such words in lower case.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-įı-ž]+")
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž]+")
+WORDS, CACHE = 600_000, 400_000  # words and pieces whose ids a worker remembers
+# How the vocabulary prepares and cuts a text. The fast path below does the same, so it
+# is taken for such vocabularies only.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+    ],
+}
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": PIECES}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+# What the fast path may cut itself: printable ASCII and accented Latin letters, which are normal as
+# they stand, and plain white space. The pattern is the vocabulary's own for such texts in lower case.
+_PLAIN = re.compile(r"[ \t\n\x0b\x0c\r!-~À-ÖØ-öø-įı-ž]+")
+_PIECE = re.compile(r"[a-zß-öø-ž]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^a-z0-9ß-öø-ž]+")
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, remembered by word.
-
-    The vocabulary drops white space and never joins across it, so the ids of a
-    text are those of its words. Words with other characters than printable
-    ASCII and Latin letters, or with special tokens, go through the library as a
-    whole; so do texts with control characters that Python and the library class
-    differently.
+    """Ids of texts as little-endian unsigned 32-bit bytes, remembered by word and piece.
+
+    A vocabulary that drops white space and never joins across it gives a text
+    the ids of its words, and a word those of its pieces. Words with other characters than
+    printable ASCII and Latin letters, or with special tokens, go through the
+    library as a whole. So do texts with control characters that Python and the
+    library class differently, and all texts of a vocabulary that prepares or
+    cuts texts in another way.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,6 +73,11 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        made = json.loads(self.tokenizer.to_str())
+        self.is_known = (made["normalizer"], made["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER)
+        # The vocabulary spells letters beyond ASCII by their bytes.
+        letters = [chr(c) for c in range(0xC0, 0x17F) if self.is_known and _PLAIN.fullmatch(chr(c))]
+        self.spelled = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -63,21 +85,25 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer
-        mapped = [piece] if piece.isascii() else [p for p, _ in cut.pre_tokenize_str(piece)]
-        ids = np.array([t.id for p in mapped for t in model.tokenize(p)], "<u4").tobytes()
-        if len(self.pieces) >= CACHE:
-            self.pieces.clear()
-        self.pieces[piece] = ids
+        tokenize = self.tokenizer.model.tokenize
+        found = tokenize(piece if piece.isascii() else piece.translate(self.spelled))
+        ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        if len(piece) <= 64:
+            if len(self.pieces) >= CACHE:
+                self.pieces.clear()
+            self.pieces[piece] = ids
         return ids
 
-    def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and not any(s in word for s in self.special):
+    def _is_plain(self, text: str) -> bool:
+        return _PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+
+    def _word(self, word: str, plain: bool) -> bytes:
+        if plain or self._is_plain(word):
             ids = b"".join([self.pieces.get(p) or self._piece(p) for p in _PIECE.findall(word.lower())])
         else:
             ids = self._whole(word)
         if len(word) <= 64:
-            if len(self.words) >= CACHE:
+            if len(self.words) >= WORDS:
                 self.words.clear()
             self.words[word] = ids
         return ids
@@ -85,13 +111,13 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        if not self.is_known or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self._whole(text)
-        known = self.words.get
-        words = text.split()
+        words, known = text.split(), self.words.get
         found = list(map(known, words))
         if None in found:
-            found = [self._word(w) if f is None else f for w, f in zip(words, found)]
+            plain = self._is_plain(text)
+            found = [known(w) or self._word(w, plain) if f is None else f for w, f in zip(words, found)]
         return b"".join(found)
 
 

@@ -140,6 +140,19 @@ def test_tokens_of_documents(docs, texts):
     assert got == expected_tokens(sorted(texts.items()))
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_gives_the_ids_of_the_library(texts, name, monkeypatch):
+    """Of any vocabulary, and with caches that overflow; only the known kind takes the fast path."""
+    monkeypatch.setattr(tokens, "WORDS", 50)
+    monkeypatch.setattr(tokens, "CACHE", 30)
+    own = tokens.Encoder(queries.vocabulary(name))
+    assert own.is_known == (name == "word_bpe_49k.json")
+    odd = ["It's WE'LL 'S 'tis x\x0by\x85z", "İstanbul ǅ ﬁ ŉ Ÿ ÷×", "e\u0301 <|endoftext|>a x\x1cy", "a" * 5000, LONG[:20_000], ODD[-1][1]]
+    for text in [*odd, *list(texts.values())[:60]]:
+        want = np.array(own.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert own.encode(text) == want and own.encode(text) == want
+
+
 def test_tokens_of_odd_rows(odd, none):
     got = sorted((tuple(r) for r in tokens.token_files(odd, queries.vocabulary()).collect()), key=lambda r: r[1])
     first = sorted(ODD, key=lambda r: (r[0] is not None, r[0] or 0))
