@@ -7,13 +7,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guestlens.llm import hashing
-from guestlens.llm.common import materialize, slices
+from guestlens.llm.common import landed, materialize, slices
 
 WINDOW = 13
+# Doubling starts from seeds of at most so many words.
+LEAST_SEED = 8
+_SECOND = np.uint64(0xA0761D6478BD642F)  # makes the second hash of a window
 LAST = (1 << 63) - 1  # stands for a null doc_id, which is smaller than none
 
 
@@ -39,79 +43,116 @@ def _seeds(w: hashing.Words, hashes: np.ndarray, window: int) -> tuple[np.ndarra
 
 
 def _seed_rows(window: int, with_windows: bool):
-    """Arrow function: documents to their seeds, or to seeds with the windows that chose them."""
+    """Arrow function: documents to their seeds, or to seeds with the run of windows that chose them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             w = hashing.words(batch.column("text"))
-            hashes = hashing.word_hashes(w)
-            at, seed, place, _ = _seeds(w, hashes, window)
+            at, seed, place, _ = _seeds(w, hashing.word_hashes(w), window)
             if not len(at):
                 continue
-            order = batch.column("_order").to_numpy(zero_copy_only=False)
             text_of = w.text_of()
             # Windows that share a seed follow one another.
             new = np.concatenate([[True], (place[1:] != place[:-1]) | (text_of[at[1:]] != text_of[at[:-1]])])
             head = np.flatnonzero(new)
-            columns = {
-                "seed": pa.array(seed[head].view(np.int64)),
-                "_order": pa.array(order[text_of[at[head]]]),
-            }
+            columns = {"seed": pa.array(seed[head].view(np.int64))}
+            own = pa.array(text_of[at[head]])
             if with_windows:
-                # With the seed's 64 bits, 32 more make the identity of a window.
-                own = (hashing.windows(hashes, window)[at] >> np.uint64(32)).astype("<u4")
-                columns["_row"] = batch.column("_row").take(pa.array(text_of[at[head]]))
+                columns["_ref"] = batch.column("_ref").take(own)
                 columns["first"] = pa.array((at[head] - w.first[text_of[at[head]]]).astype(np.int32))
-                ends = np.concatenate([head[1:], [len(at)]]) * 4
-                offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes())
-                columns["own"] = pa.Array.from_buffers(pa.binary(), len(head), [None, offsets, pa.py_buffer(own.tobytes())])
+                columns["n"] = pa.array(np.diff(np.concatenate([head, [len(at)]])).astype(np.int32))
+            else:
+                columns["_order"] = batch.column("_order").take(own)
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
-def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Seed rows to a row per window."""
-    for whole in batches:
-        for a in range(0, whole.num_rows, 20_000):
-            batch = whole.slice(a, 20_000)
-            own = np.frombuffer(b"".join(batch.column("own").to_pylist()), "<u4")
-            counts = np.array([len(x) // 4 for x in batch.column("own").to_pylist()], np.int64)
-            n = pa.array(np.repeat(np.arange(batch.num_rows), counts))
-            step = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
+def _window_rows(length: int, below: int):
+    """Arrow function: documents with the runs of places that survived to a row per window of ``length``.
+
+    A run names places of windows itself (``below`` 0), or of repeated windows of
+    ``below`` words; then both ends of a window have to be such places. Two
+    64-bit hashes are a window's identity.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            w = hashing.words(batch.column("text"))
+            hashes = hashing.word_hashes(w)
+            runs = batch.column("runs")
+            base = np.repeat(w.first[:-1], pc.list_value_length(runs).to_numpy(zero_copy_only=False))
+            spans = runs.flatten()
+            first = base + spans.field("first").to_numpy(zero_copy_only=False)
+            last = np.minimum(first + spans.field("n").to_numpy(zero_copy_only=False), len(hashes))
+            inside = first < len(hashes)
+            change = np.zeros(len(hashes) + 1, np.int64)
+            np.add.at(change, first[inside], 1)
+            np.add.at(change, last[inside], -1)
+            open_ = np.cumsum(change[:-1]) > 0
+            at = np.flatnonzero(open_ & (w.left() >= length))
+            if below:
+                at = at[open_[at + length - below]]
+            if not len(at):
+                continue
+            text_of = w.text_of()[at]
+            own = pa.array(text_of)
             yield pa.RecordBatch.from_pydict({
-                "seed": batch.column("seed").take(n),
-                "own": pa.array(own.astype(np.int64)),
-                "_order": batch.column("_order").take(n),
-                "_row": batch.column("_row").take(n),
-                "at": pa.array((np.repeat(batch.column("first").to_numpy(), counts) + step).astype(np.int32)),
+                "h1": pa.array(hashing.windows(hashes, length)[at].view(np.int64)),
+                "h2": pa.array(hashing.windows(hashing.mix(hashes ^ _SECOND), length)[at].view(np.int64)),
+                "_order": batch.column("_order").take(own),
+                "_ref": batch.column("_ref").take(own),
+                "at": pa.array((at - w.first[text_of]).astype(np.int32)),
             })
 
+    return run
+
+
+def lengths(window: int) -> list[int]:
+    """The lengths of the levels, two at least: each at most twice the one before, the last is ``window``."""
+    found = [window]
+    while len(found) < 2 or found[0] > LEAST_SEED:
+        found.insert(0, found[0] // 2 + 1)
+    return found
+
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Windows of documents that also start in a document with a smaller ``_order``.
 
-    ``docs`` has text, _order and _row, a number of its own per row. Returns
-    ``_row`` and ``at``, the window's first word in its document.
+    ``docs`` has text, _order and _ref, a hash of both. Returns ``_order``,
+    ``_ref`` and ``at``, the window's first word in its document.
 
-    The first level counts one seed per window, half as long. The seeds are
-    about a quarter of all places. Those found in one document alone end there;
-    the others are extended to twice their length, less a word, which is the
-    window itself. Counting is by partial sums and the joins are with one row
-    per key, so a passage in many documents meets in no single task.
+    The first level counts one seed per window of the second length, half as
+    long. The seeds are about a quarter of all places. At each level windows that
+    stand in documents of one ``_order`` alone end there; the others are extended to twice
+    their length, up to ``window`` or until none survive. Counting is by partial
+    sums and the joins are with one row per key, so a passage in many documents
+    meets in no single task. Only places travel back to the texts, in lists as
+    long as their document at most.
     """
-    half_rows = docs.select("text", "_order").mapInArrow(_seed_rows(window, False), "seed long, _order long")
-    seeds = half_rows.groupBy("seed").agg(F.min("_order").alias("_first"), F.max("_order").alias("_last"))
-    alive = materialize(seeds.where(F.col("_first") < F.col("_last")).select("seed"), "seeds")
-    extended = docs.select("text", "_order", "_row").mapInArrow(
-        _seed_rows(window, True), "seed long, _order long, _row long, first int, own binary"
-    )
-    packed = materialize(extended.join(alive, "seed", "left_semi"), "windows")
-    schema = "seed long, own long, _order long, _row long, at int"
-    opened = packed.mapInArrow(_open_windows, schema)
-    firsts = opened.groupBy("seed", "own").agg(F.min("_order").alias("_first"), F.max("_order").alias("_last"))
-    firsts = materialize(firsts.where(F.col("_first") < F.col("_last")).drop("_last"), "window-firsts")
-    return opened.join(firsts, ["seed", "own"]).where(F.col("_first") < F.col("_order")).select("_row", "at")
+    rows = docs.select("text", "_order", "_ref")
+    levels = lengths(window)
+    seeds = rows.select("text", "_order").mapInArrow(_seed_rows(levels[1], False), "seed long, _order long")
+    alive = materialize(_in_several(seeds, ["seed"]).select("seed"), "seeds")
+    found = rows.select("text", "_ref").mapInArrow(_seed_rows(levels[1], True), "seed long, _ref long, first int, n int")
+    runs = found.join(alive, "seed", "left_semi")
+    schema = "h1 long, h2 long, _order long, _ref long, at int"
+    for below, length in zip([0, *levels[1:]], levels[1:]):
+        runs = runs.groupBy("_ref").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
+        runs = materialize(runs, "runs")
+        opened = rows.join(runs, "_ref").mapInArrow(_window_rows(length, below), schema)
+        opened = materialize(opened, "windows")
+        firsts = materialize(_in_several(opened, ["h1", "h2"]), "window-firsts")
+        repeated = opened.join(firsts, ["h1", "h2"])
+        if length == window or firsts.isEmpty():
+            return repeated.where(F.col("_first") < F.col("_order")).select("_order", "_ref", "at")
+        runs = repeated.select("_ref", F.col("at").alias("first"), F.lit(1).alias("n"))
+
+
+def _in_several(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that stand in documents of different order, with the smallest order."""
+    ends = rows.groupBy(*keys).agg(F.min("_order").alias("_first"), F.max("_order").alias("_last"))
+    return ends.where(F.col("_first") < F.col("_last")).drop("_last")
 
 
 def _cut(window: int, with_text: bool):
@@ -137,7 +178,6 @@ def _cut(window: int, with_text: bool):
                 digests.append(hashlib.sha256(joined).hexdigest())
                 kept_texts.append(joined.decode() if with_text else None)
             yield pa.RecordBatch.from_pydict({
-                "_row": batch.column("_row"),
                 "doc_id": batch.column("doc_id"),
                 "n_words": pa.array(n_words, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
@@ -152,24 +192,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True
     """Documents without the words that an earlier document's window covers.
 
     Returns doc_id, n_words, n_removed, kept_sha256, kept_text (kept words joined
-    by one space; null unless ``with_text``). ``docs`` is a table, as rows are told
-    apart by their place in its files. Of equal doc_ids none is earlier than the other; a null doc_id
-    is later than all others. Null, empty and short texts have no windows and
-    stay as they are. An empty table gives an empty result.
+    by one space; null unless ``with_text``). Of equal doc_ids none is earlier
+    than the other; a null doc_id is later than all others. Null, empty and short
+    texts have no windows and stay as they are. Rows with equal id and text have
+    equal results. Other columns, whatever their names, are not looked at. An
+    empty table gives an empty result.
+
+    Documents are named by their id and a hash of it and the text, the same in every scan.
     """
-    rows = docs.select(
-        "doc_id",
-        "text",
-        F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("_order"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    windows = materialize(repeated_windows(rows, window), "repeats")
-    # Bounded by the length of the document itself.
-    spans = windows.groupBy("_row").agg(F.collect_list("at").alias("starts"))
-    schema = "_row long, doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    return (
-        rows.join(spans, "_row", "left")
-        .select("_row", "doc_id", "text", "starts")
-        .mapInArrow(_cut(window, with_text), schema)
-        .drop("_row")
-    )
+    order = F.coalesce("doc_id", F.lit(LAST)).cast("long")
+    rows = docs.select("doc_id", "text", order.alias("_order"), F.xxhash64(order, "text").alias("_ref"))
+
+    def make() -> DataFrame:
+        # Bounded by the length of the document itself.
+        return repeated_windows(rows, window).groupBy("_order", "_ref").agg(F.collect_set("at").alias("starts"))
+
+    spans = landed(docs.sparkSession, "repeats", make)
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    found = rows.join(spans, ["_order", "_ref"], "left").select("doc_id", "text", "starts")
+    return found.mapInArrow(_cut(window, with_text), schema)
