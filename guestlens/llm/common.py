@@ -24,6 +24,15 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def text_key(text: str = "text") -> Column:
+    """A name of a text for joins between scans: 128 bits of hashes, null for none.
+
+    A row's place in the input would differ between jobs if their number of cores did.
+    """
+    key = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), F.col(text), F.lit(2)).alias("b"))
+    return F.when(F.col(text).isNotNull(), key)
+
+
 def join_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str, spread: Column | None = None) -> DataFrame:
     """Join rows to a table with one row per key.
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from guestlens.llm.common import BROADCAST_ROWS, join_small, materialize
+from guestlens.llm.common import BROADCAST_ROWS, join_small, landed, materialize, text_key
 
 # A leak is a run of so many tokens with the template of an item, in which at
 # least so many are plain words. Every such run holds one whole aligned block.
@@ -120,7 +120,9 @@ def _leaks(same: str, doc: str, item: str, slot: str, name: str, run: str) -> Co
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(_row, item_id, n_runs): documents that repeat an item, by the place ``_row`` in the input.
+    """(_row, item_id, n_runs): documents that repeat an item.
+
+    ``docs`` has text and _row, which names the text; copies of a text may share it.
 
     Every block of an item's template, at all places, is hash-joined with the
     blocks of a document's template that follow one another. A leak of ``RUN``
@@ -143,16 +145,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     blocks = blocks or [_opened(tokens.limit(0), "_row", "_at", BLOCK)]
     wanted = materialize(reduce(DataFrame.union, own).distinct(), "item-blocks")
     blocks = reduce(DataFrame.union, blocks)
-    # Items are a stated query set, but their number is checked all the same.
+    # Items are a stated query set, but their number is checked all the same; a row is three numbers.
     small = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     met = blocks.join(small, "h").select("_row", "_item", (F.col("_at") - F.col("_off")).alias("_shift")).distinct()
     met = materialize(met, "met")
     rows = materialize(met.select("_row").distinct(), "met-rows")
     own = join_small(docs.select("_row", "text"), rows, ["_row"], "left_semi")
+    # Copies of a text are looked at once.
+    own = own.dropDuplicates(["_row"])
     own = materialize(_with_tokens(own).drop("text"), "met-templates")
     other = items.select("_item", "item_id", *[F.col(c).alias(f"{c}2") for c in ("_raw", "_plain", "_named")])
     pairs = met.join(own, "_row")
-    pairs = join_small(pairs, other, ["_item"], "inner", F.col("_row"))
+    pairs = join_small(pairs, other, ["_item"], "inner", F.xxhash64("_row"))
 
     start = F.greatest(F.col("_shift"), F.lit(0))
     length = F.least(F.size("_raw"), F.col("_shift") + F.size("_raw2")) - start
@@ -188,18 +192,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> Dat
     Copies of benchmark passages are found whatever their case, punctuation and
     white space, and with other numbers, units or names in their places. An item
     of fewer than 13 tokens is matched as a whole. Null and empty texts and items
-    match nothing.
-    Items without an id are left out; equal items count once. Repeated rows are
-    judged alike. Empty tables give no leaks. ``docs`` is a table, as rows are
-    told apart by their place in its files.
+    match nothing. Items without an id are left out; equal items count once.
+    Equal texts are judged alike, and once: a text is named by two hashes of it,
+    the same in every scan. ``keep`` may name any columns. Empty tables give no leaks.
     """
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *(() if "text" in keep else ("text",)))
-    rows = rows.withColumn("_row", F.monotonically_increasing_id())
-    leaks = find_leaks(rows.select("_row", "text"), benchmark)
-    found = leaks.groupBy("_row").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.sum("n_runs").alias("n_runs"))
-    joined = join_small(rows, materialize(found, "leaks"), ["_row"], "left")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_keep"), "text", text_key("text").alias("_row"))
+
+    def make() -> DataFrame:
+        leaks = find_leaks(rows.select("_row", "text").where("text IS NOT NULL"), benchmark)
+        return leaks.groupBy("_row").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.sum("n_runs").alias("n_runs"))
+
+    joined = join_small(rows, landed(docs.sparkSession, "leaks", make), ["_row"], "left", F.xxhash64("_keep"))
     return joined.select(
-        *[F.col(f"`{c}`") for c in keep],
+        *[F.col("_keep").getField(c).alias(c) for c in keep],
         F.col("item_ids").isNotNull().alias("contaminated"),
         F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"),
         F.coalesce("n_runs", F.lit(0)).cast("long").alias("n_runs"),
