@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestlens.llm.common import join_small, materialize
+from guestlens.llm.common import join_small, landed, materialize
 
 # Notices, and the whole texts of short licences. Those of all others are files.
 KNOWN = (
@@ -121,20 +121,34 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     and joined by a comma, by the same join over the digests of lines. Both are
     null where nothing is known. Null texts are empty; an empty text has a digest
     and no licence. Repeated rows are scanned alike, an empty table gives an
-    empty result. ``docs`` is a table, as rows are told apart by their place in
-    its files.
+    empty result. Other columns, whatever their names, are not looked at.
+
+    Every text is made canonical once: the digests of the whole and of its lines
+    are written, with a number per row that is stored with them, and the joins read those.
     """
-    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))
-    lines = rows.select("doc_id", "_row", canonical_lines(F.col("text")).alias("_lines"))
-    each = F.array_distinct(F.filter(F.transform(F.split("_lines", "\n"), lambda x: F.trim(x)), lambda x: x != ""))
-    parts = lines.select("_row", F.explode(each).alias("_line")).select("_row", F.md5("_line").alias("digest"))
-    # One row per known text.
-    stated = join_small(parts, known, ["digest"], "inner", F.col("_row"))
-    notices = stated.groupBy("_row").agg(F.concat_ws(",", F.sort_array(F.collect_set("license"))).alias("notices"))
-    whole = lines.select("doc_id", "_row", F.md5(canonical(F.col("_lines"))).alias("digest"))
-    whole = join_small(whole, known, ["digest"], "left", F.col("_row"))
-    notices = materialize(notices, "notices")
-    return join_small(whole, notices, ["_row"], "left").select("doc_id", "digest", "license", "notices")
+
+    def make() -> DataFrame:
+        lines = docs.select("doc_id", canonical_lines(F.col("text")).alias("_lines"))
+        each = F.array_distinct(F.filter(F.transform(F.split("_lines", "\n"), lambda x: F.trim(x)), lambda x: x != ""))
+        digests = materialize(
+            lines.select(
+                "doc_id",
+                F.monotonically_increasing_id().alias("_row"),
+                F.md5(canonical(F.col("_lines"))).alias("digest"),
+                F.transform(each, lambda x: F.unhex(F.md5(x))).alias("_each"),
+            ),
+            "digests",
+        )
+        parts = digests.select("_row", F.explode("_each").alias("_line"))
+        of_line = known.select(F.unhex("digest").alias("_line"), "license")
+        # One row per known text.
+        stated = join_small(parts, of_line, ["_line"], "inner", F.col("_row"))
+        notices = stated.groupBy("_row").agg(F.concat_ws(",", F.sort_array(F.collect_set("license"))).alias("notices"))
+        whole = join_small(digests.drop("_each"), known, ["digest"], "left", F.col("_row"))
+        joined = join_small(whole, materialize(notices, "notices"), ["_row"], "left")
+        return joined.select("doc_id", "digest", "license", "notices")
+
+    return landed(docs.sparkSession, "licenses", make)
 
 
 def _sql_string(text: str) -> str:
