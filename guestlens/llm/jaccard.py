@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guestlens.llm import hashing
-from guestlens.llm.common import join_small, materialize, slices
+from guestlens.llm.common import WORD, join_small, landed, materialize, slices
 from guestlens.llm.components import components
 
 SHINGLE = 5
@@ -20,7 +21,7 @@ PERCENT = 75
 # So many of the most frequent shingles come last in the global order. Any order
 # gives the same result; this one keeps widely shared passages out of prefixes.
 COMMON = 1 << 18
-_BLOCK = 1 << 22  # shingles counted at once in a task
+_BLOCK = 1 << 20  # shingles counted at once in a task
 # Candidates share so many shingles of their prefixes, or what their sizes ask for.
 SHARED = 4
 # A shared shingle has one of so many hubs among the groups that have it.
@@ -126,11 +127,11 @@ def _prefixes(packed: bytes):
 def _sets(packed: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             own = [_ordered(found, common) for found in _shingles(batch.column("text"))]
             ends = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
             yield pa.RecordBatch.from_pydict(
-                {"node": batch.column("_row"), "members": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own)))}
+                {"node": batch.column("node"), "members": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own)))}
             )
 
     return run
@@ -177,10 +178,33 @@ def _ends(pairs: DataFrame, label: str) -> DataFrame:
     return materialize(pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).distinct(), label)
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, packed: bytes) -> DataFrame:
+@dataclass
+class _Texts:
+    """Where the texts of nodes are: in rows with the node's hash and smallest id."""
+
+    rows: DataFrame  # _node, _id, text
+    nodes: DataFrame  # node, same, _least, _copies
+    packed: bytes
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(node, members): the whole sets of the wanted nodes (_row), one row each.
+
+        Rows are found by the text's hash and their id, which are the same in every scan.
+        """
+        named = self.nodes.join(wanted.withColumnRenamed("_row", "node"), "node")
+        named = named.select("node", F.col("same").alias("_node"), F.col("_least.doc_id").alias("_id"), "_copies")
+        named = materialize(named, "needed-nodes")
+        texts = join_small(self.rows, named, ["_node", "_id"], "inner")
+        found = texts.where("_copies = 1").select("text", "node")
+        if not named.where("_copies > 1").isEmpty():
+            # Repeated rows, with the same id and text, are one.
+            found = found.union(texts.where("_copies > 1").select("text", "node").dropDuplicates(["node"]))
+        return found.mapInArrow(_sets(self.packed), "node long, members array<long>")
+
+
+def _verified(pairs: DataFrame, texts: _Texts) -> DataFrame:
     """Those of the pairs (a, b) whose sets link, by their whole sets."""
-    texts = join_small(rows, _ends(pairs, "needed-rows"), ["_row"], "left_semi")
-    sets = materialize(texts.select("text", "_row").mapInArrow(_sets(packed), "node long, members array<long>"), "sets")
+    sets = materialize(texts.sets(_ends(pairs, "needed-rows")), "sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("_a")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("members").alias("_b")), "b"
     )
@@ -190,11 +214,11 @@ def _verified(pairs: DataFrame, rows: DataFrame, packed: bytes) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """_row (place in the input), doc_id, n_shingles, component_id, stays of every document.
+    """doc_id, n_shingles, component_id, stays and text_hash of every document.
 
     ``stays`` marks one row of each component, the first with its smallest id.
 
-    Equal texts are one node, named by the place of its first row. Nodes with equal prefixes and size are one group.
+    Equal texts are one node. Nodes with equal prefixes and size are one group.
     Groups that share a prefix shingle are candidates if their sizes and the
     number of shared prefix shingles allow a link. First each group is paired
     with one of a few representatives per shared shingle (hubs, by hash) and groups
@@ -208,53 +232,82 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     with nothing; their component is their own doc_id. A text of fewer than five
     words is one shingle. Repeated doc_ids are rows of their own; a null doc_id
     counts for no component's smallest. An empty table gives an empty result.
-    ``docs`` is a table, as rows are told apart by their place in its files.
+    Other columns, whatever their names, are not looked at. Rows are numbered
+    once, in a table that is written; texts are read again by their hash and id.
+    """
+    return landed(docs.sparkSession, "near-duplicates", lambda: _labelled(docs))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, with all their columns, but one of each component: the first with its smallest id.
+
+    All documents without words stay.
     """
+    columns = docs.columns
+    node, own_id = F.xxhash64("text").alias("_node"), F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("_id")
+
+    def make() -> DataFrame:
+        keys = near_duplicates(docs).where("n_shingles > 0").groupBy(own_id, F.col("text_hash").alias("_node"))
+        return keys.agg(F.bool_or("stays").alias("stays"), F.count("*").alias("_copies")).where("stays").drop("stays")
+
+    first = landed(docs.sparkSession, "first-of-each", make)
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_keep"), node, own_id, _has_words("text").alias("_worded"))
+    joined = join_small(keyed, first, ["_id", "_node"], "left")
+    stays = joined.where("NOT _worded OR _copies = 1")
+    if not first.where("_copies > 1").isEmpty():
+        stays = stays.union(joined.where("_worded AND _copies > 1").dropDuplicates(["_id", "_node"]))
+    return stays.select(*[F.col("_keep").getField(c).alias(c) for c in columns])
+
+
+def _has_words(text: str) -> Column:
+    return F.coalesce(F.regexp_like(text, F.lit(WORD)), F.lit(False))
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
     rows = docs.select(
-        "doc_id", "text", F.xxhash64("text").alias("_node"), F.monotonically_increasing_id().alias("_row")
+        "doc_id",
+        "text",
+        F.xxhash64("text").alias("_node"),
+        F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("_id"),
+        # Only read from the table that it is written to.
+        F.monotonically_increasing_id().alias("_row"),
     )
     packed = _common_slots(rows)
     schema = "doc_id long, _row long, same long, n int, grp long, prefix array<long>"
-    table = materialize(rows.mapInArrow(_prefixes(packed), schema), "prefixes")
+    table = materialize(rows.drop("_id").mapInArrow(_prefixes(packed), schema), "prefixes")
     worded = table.where("n > 0")
-    nodes = worded.groupBy("same").agg(
+    own = worded.groupBy("same", F.coalesce("doc_id", F.lit(LAST)).alias("doc_id")).agg(
+        F.min("_row").alias("_row"), F.count("*").alias("copies"), F.min("n").alias("n"), F.min("grp").alias("grp")
+    )
+    nodes = own.groupBy("same").agg(
         F.min("_row").alias("node"),
-        F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), F.col("_row"))).alias("_least"),
+        F.min(F.struct("doc_id", "_row", "copies")).alias("_least"),
         F.min("n").alias("n"),
         F.min("grp").alias("grp"),
     )
-    nodes = materialize(nodes, "nodes")
+    nodes = materialize(nodes.withColumn("_copies", F.col("_least.copies")), "nodes")
+    texts = _Texts(rows.select("_node", "_id", "text"), nodes.select("node", "same", "_least", "_copies"), packed)
     leaders = nodes.groupBy("grp").agg(F.min("node").alias("leader"), F.min("n").alias("n"), F.max("node").alias("_last"))
     leaders = materialize(leaders, "groups")
-
-    first = materialize(leaders.select(F.col("leader").alias("_row")), "first-rows")
-    once = join_small(worded.select("_row", "grp", "n", "prefix"), first, ["_row"], "left_semi")
-    tokens = materialize(once, "group-prefixes").select(F.posexplode("prefix").alias("at", "token"), "grp", "n")
-    ends = tokens.groupBy("token").agg(F.min("grp").alias("_a"), F.max("grp").alias("_b"))
-    shared = materialize(ends.where("_a < _b").select("token"), "shared-tokens")
-    hits = materialize(tokens.join(shared, "token", "left_semi"), "hits")
-    # The prefix of a group of two or more nodes is shared, whatever other groups have.
-    several = materialize(leaders.where("leader < _last").select("grp"), "several")
-    inside = join_small(tokens, several, ["grp"], "left_semi")
-    shared_hits = materialize(hits.union(inside.join(shared, "token", "left_anti").select(*hits.columns)), "shared-hits")
+    spark = docs.sparkSession
+    shared_hits = landed(spark, "shared-hits", lambda: _shared_hits(worded, leaders))
 
     members = nodes.join(leaders.select("grp", "leader"), "grp").where("node != leader")
     within = members.select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    nothing = nodes.select("node", F.col("node").alias("component")).limit(0)
-    all_nodes, found = nodes.count(), nothing
+    found = nodes.select("node", F.col("node").alias("component")).limit(0)
+    all_nodes = nodes.count()
     for turn in range(ROUNDS):
-        stars = _by_prefix(materialize(_stars(hits, leaders, found, turn), "stars"), worded)
-        pairs = stars if turn else stars.union(within)
-        new = _verified(materialize(pairs, "pairs"), rows, packed)
-        size = new.count()
+        hubs = landed(spark, "stars", lambda: _by_prefix(materialize(_stars(shared_hits.where("between"), leaders, found, turn), "stars"), worded))
+        links = landed(spark, "links", lambda: _verified(hubs if turn else materialize(hubs.union(within), "pairs"), texts))
+        size = links.count()
         if size:
-            found = _joined(found, new)
+            found = _joined(found, links)
         if 100 * size < all_nodes:
             break
-    rest = _by_prefix(_between(shared_hits, nodes, found), worded)
-    more = _verified(materialize(rest, "rest"), rows, packed)
-    if not more.isEmpty():
-        found = _joined(found, more)
+    rest = landed(spark, "rest", lambda: _by_prefix(_between(shared_hits, nodes, found), worded))
+    links = landed(spark, "links", lambda: _verified(rest, texts))
+    if not links.isEmpty():
+        found = _joined(found, links)
 
     labelled = join_small(nodes, found, ["node"], "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("_least").alias("_first"))
@@ -262,17 +315,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     final = join_small(table.select("doc_id", "same", "n", "_row"), of_node, ["same"], "left", F.col("_row"))
     alone = F.col("n") == 0
     return final.select(
-        "_row",
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(alone, F.col("doc_id")).when(F.col("_first.doc_id") < LAST, F.col("_first.doc_id")).alias("component_id"),
         (alone | (F.col("_row") == F.col("_first._row"))).alias("stays"),
+        F.col("same").alias("text_hash"),
     )
 
 
+def _shared_hits(worded: DataFrame, leaders: DataFrame) -> DataFrame:
+    """(token, at, grp, n, between): the prefix shingles of groups that two nodes have; ``between`` two groups."""
+    first = materialize(leaders.select(F.col("leader").alias("_row")), "first-rows")
+    once = join_small(worded.select("_row", "grp", "n", "prefix"), first, ["_row"], "left_semi")
+    tokens = materialize(once, "group-prefixes").select(F.posexplode("prefix").alias("at", "token"), "grp", "n")
+    ends = tokens.groupBy("token").agg(F.min("grp").alias("_a"), F.max("grp").alias("_b"))
+    shared = materialize(ends.where("_a < _b").select("token"), "shared-tokens")
+    hits = tokens.join(shared, "token", "left_semi").withColumn("between", F.lit(True))
+    # The prefix of a group of two or more nodes is shared, whatever other groups have.
+    several = materialize(leaders.where("leader < _last").select("grp"), "several")
+    inside = join_small(tokens, several, ["grp"], "left_semi").join(shared, "token", "left_anti")
+    return hits.unionByName(inside.withColumn("between", F.lit(False)))
+
+
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
     """The components with further links; a component stands for its links so far by a star."""
-    return materialize(components(found.toDF("a", "b").union(links.select("a", "b"))), "components")
+    return landed(found.sparkSession, "components", lambda: components(found.toDF("a", "b").union(links.select("a", "b"))))
 
 
 def _stars(hits: DataFrame, leaders: DataFrame, found: DataFrame, turn: int) -> DataFrame:

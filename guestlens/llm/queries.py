@@ -34,7 +34,7 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard.near_duplicates(read(spark, sf, "documents")).drop("_row", "stays")
+    return jaccard.near_duplicates(read(spark, sf, "documents")).drop("stays", "text_hash")
 
 
 def quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
