@@ -70,8 +70,7 @@ def mix(
 ) -> DataFrame:
     """How much the mix takes of each document: 0, 1 .. ``most`` times its size.
 
-    ``keep`` names columns of ``docs`` to return; source and doc_id must be among
-    them. A source gives every document ``floor(target / size)`` times, and once
+    ``keep`` names columns of ``docs`` to return, whatever their names; docs has source, doc_id and text. A source gives every document ``floor(target / size)`` times, and once
     more those whose hash is below the source's threshold. The threshold comes
     from a histogram of sizes by source and hash bucket: whole buckets are taken
     while they fit, then only the boundary bucket is split by further bits, until
@@ -84,9 +83,10 @@ def mix(
     """
     spread = F.xxhash64("_id", "_text")
     own = ((1 << _OWN_BITS) - 1) << (_HASH_BITS - _OWN_BITS)
-    columns = [F.col(f"`{c}`") for c in keep]
     rows = docs.select(
-        *columns,
+        # Packed, so that no kept name can clash with one of the columns here.
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_keep"),
+        "source",
         F.coalesce(size, F.lit(0)).cast("long").alias("_size"),
         F.col("doc_id").alias("_id"),
         F.xxhash64("text").alias("_text"),
@@ -114,7 +114,8 @@ def mix(
     rows = rows.withColumn("_key", F.xxhash64("source", F.col("source").isNull()))
     joined = join_small(rows, materialize(table, "mix-limits"), ["_key"], "inner", F.col("_hash"))
     times = F.col("_times") + (F.col("_hash") < F.col("_limit")).cast("long")
-    return joined.select(*columns, F.col("_size").alias("size"), "source_size", "target", (times * F.col("_size")).alias("taken"))
+    kept = [F.col("_keep").getField(c).alias(c) for c in keep]
+    return joined.select(*kept, F.col("_size").alias("size"), "source_size", "target", (times * F.col("_size")).alias("taken"))
 
 
 def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:

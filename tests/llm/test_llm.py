@@ -221,6 +221,20 @@ def without_repeats(pairs, n=13):
     return sorted(out, key=str)
 
 
+@pytest.mark.parametrize("window", [5, 24, 50])
+def test_repeats_of_other_lengths(docs, window):
+    """Fewer or more levels of doubling than the contract's two."""
+    got = sorted((tuple(r) for r in repeats.remove_repeats(docs, window).collect()), key=str)
+    assert got == without_repeats([tuple(r) for r in docs.select("doc_id", "text").collect()], window)
+
+
+def test_levels_double():
+    assert [repeats.lengths(n) for n in (13, 24, 50)] == [[7, 13], [7, 13, 24], [8, 14, 26, 50]]
+    for window in range(9, 300):
+        levels = repeats.lengths(window)
+        assert all(b <= 2 * a and b >= a for a, b in zip(levels, levels[1:]))
+
+
 @pytest.mark.parametrize("name", ["docs", "odd", "none"])
 def test_repeats(request, name):
     df = request.getfixturevalue(name)
