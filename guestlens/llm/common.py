@@ -14,6 +14,8 @@ from guestlens.session import landed, materialize, new_path, scratch, work_dir
 
 # A small side is broadcast up to this many rows; above, both sides are shuffled.
 BROADCAST_ROWS = 200_000
+# Bytes of text that a Python worker looks at at once; its arrays take some fifty times as much.
+SLICE = 1 << 19
 # Rows of a hot key are spread over this many shuffle keys.
 SALTS = 64
 # The words of the contracts: runs of anything but space and 0x09 to 0x0D.
@@ -61,7 +63,7 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about ``most_bytes`` of text, or one row."""
     for batch in batches:
         if not batch.num_rows:

@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from guestlens.llm.common import utf8
 
-_BLOCK = 1 << 21  # bytes hashed at once
+_BLOCK = 1 << 19  # bytes hashed at once
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -140,19 +140,48 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     for below, length in zip([0, *levels[1:]], levels[1:]):
         runs = runs.groupBy("_ref").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
         runs = materialize(runs, "runs")
+        # Read twice, hashed twice: the windows themselves would fill more disk than the texts.
         opened = rows.join(runs, "_ref").mapInArrow(_window_rows(length, below), schema)
-        opened = materialize(opened, "windows")
-        firsts = materialize(_in_several(opened, ["h1", "h2"]), "window-firsts")
-        repeated = opened.join(firsts, ["h1", "h2"])
+        firsts = materialize(_window_firsts(opened), "window-firsts")
         if length == window or firsts.isEmpty():
-            return repeated.where(F.col("_first") < F.col("_order")).select("_order", "_ref", "at")
-        runs = repeated.select("_ref", F.col("at").alias("first"), F.lit(1).alias("n"))
+            return _later(opened, firsts)
+        runs = _repeated(opened, firsts).select("_ref", F.col("at").alias("first"), F.lit(1).alias("n"))
 
 
 def _in_several(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys that stand in documents of different order, with the smallest order."""
+    """The keys that stand in documents of different order."""
     ends = rows.groupBy(*keys).agg(F.min("_order").alias("_first"), F.max("_order").alias("_last"))
-    return ends.where(F.col("_first") < F.col("_last")).drop("_last")
+    return ends.where(F.col("_first") < F.col("_last")).select(*keys)
+
+
+def _window_firsts(opened: DataFrame) -> DataFrame:
+    """(h1, h2, _first): windows in documents of different order, and the smallest one.
+
+    ``h2`` is null where all windows of an h1 have the same, so that joins need no
+    more than h1; where two different windows share it, each has a row with its own.
+    """
+    ends = F.min("_order").alias("_first"), F.max("_order").alias("_last")
+    by_one = opened.groupBy("h1").agg(*ends, F.min("h2").alias("_a"), F.max("h2").alias("_b"))
+    by_one = materialize(by_one.where(F.col("_first") < F.col("_last")), "by-one-hash")
+    clear = by_one.where("_a = _b").select("h1", F.lit(None).cast("long").alias("h2"), "_first")
+    shared = by_one.where("_a < _b").select("h1")
+    if shared.isEmpty():
+        return clear
+    both = opened.join(shared, "h1", "left_semi").groupBy("h1", "h2").agg(*ends)
+    return clear.union(both.where(F.col("_first") < F.col("_last")).select("h1", "h2", "_first"))
+
+
+def _repeated(opened: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(_order, _ref, at, _first) of the windows that ``firsts`` has."""
+    clear = opened.drop("h2").join(firsts.where("h2 IS NULL").drop("h2"), "h1")
+    found = clear.select("_order", "_ref", "at", "_first")
+    if not firsts.where("h2 IS NOT NULL").isEmpty():
+        found = found.union(opened.join(firsts, ["h1", "h2"]).select("_order", "_ref", "at", "_first"))
+    return found
+
+
+def _later(opened: DataFrame, firsts: DataFrame) -> DataFrame:
+    return _repeated(opened, firsts).where(F.col("_first") < F.col("_order")).select("_order", "_ref", "at")
 
 
 def _cut(window: int, with_text: bool):

@@ -228,6 +228,23 @@ def test_repeats_of_other_lengths(docs, window):
     assert got == without_repeats([tuple(r) for r in docs.select("doc_id", "text").collect()], window)
 
 
+def test_windows_that_share_a_hash_are_told_apart(docs, monkeypatch):
+    """As if the first hash of a window had few values: the second one decides."""
+    full = repeats._window_rows
+
+    def coarse(length, below):
+        def run(batches):
+            for batch in full(length, below)(batches):
+                h1 = batch.column("h1").to_numpy() % 7
+                yield batch.set_column(batch.schema.get_field_index("h1"), "h1", pa.array(h1))
+
+        return run
+
+    monkeypatch.setattr(repeats, "_window_rows", coarse)
+    got = sorted((tuple(r) for r in repeats.remove_repeats(docs).collect()), key=str)
+    assert got == without_repeats([tuple(r) for r in docs.select("doc_id", "text").collect()])
+
+
 def test_levels_double():
     assert [repeats.lengths(n) for n in (13, 24, 50)] == [[7, 13], [7, 13, 24], [8, 14, 26, 50]]
     for window in range(9, 300):
