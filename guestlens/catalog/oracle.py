@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from guestlens.catalog.stop_words import ENGLISH_STOP_WORDS
-from guestlens.catalog.views import CITY, HOTEL, TEXT_CITY
+from guestlens.catalog.views import CITY, CITY_HOTEL, HOTEL, TEXT_CITY
 from guestlens.functions import labels, vocabulary
+from guestlens.operators import sentiment
 from guestlens.schemas import CATEGORIES
 
 # Building blocks
@@ -119,42 +120,85 @@ others AS (SELECT * FROM texts WHERE locality IS DISTINCT FROM '{TEXT_CITY}' AND
 held_out AS (SELECT * FROM texts WHERE locality = '{TEXT_CITY}' AND review_text IS NOT NULL), {balanced('others')},
 {tokens('words', 'balanced')}"""
 
-NB_WEIGHTS = NB + """,
+# The models know the most frequent terms only.
+CUT = f"ORDER BY count(*) DESC, term LIMIT {sentiment.VOCAB_SIZE}"
+
+
+def nb_weights(words: str, cut: str) -> str:
+    return f"""
 vocabulary AS (
   SELECT term, count(*) FILTER (review = 'positive') AS pos, count(*) FILTER (review = 'negative') AS neg
-  FROM words GROUP BY term),
+  FROM {words} GROUP BY term {cut}),
 sums AS (SELECT sum(pos) AS all_pos, sum(neg) AS all_neg, count(*) AS size FROM vocabulary),
 weights AS (
   SELECT term, ln(pos + 1) - ln(all_pos + size) AS positive, ln(neg + 1) - ln(all_neg + size) AS negative
   FROM vocabulary, sums)"""
 
-NB_SCORED = NB_WEIGHTS + f""",
+
+def nb_scored(learned: str, asked: str) -> str:
+    """Every row of ``asked`` scored by the weights, with priors from ``learned``."""
+    return f"""
 priors AS (
   SELECT ln(count(*) FILTER (review = 'positive') + 1) - ln(count(*) + 2) AS positive,
          ln(count(*) FILTER (review = 'negative') + 1) - ln(count(*) + 2) AS negative
-  FROM balanced),
-{tokens('city_words', 'held_out')},
+  FROM {learned}),
+{tokens('asked_words', asked)},
 sums_by_id AS (
   SELECT comment_id, sum(positive) AS positive, sum(negative) AS negative
-  FROM city_words JOIN weights USING (term) GROUP BY comment_id),
+  FROM asked_words JOIN weights USING (term) GROUP BY comment_id),
 scored AS (
-  SELECT h.comment_id, h.name, h.review, h.service,
-         p.positive + coalesce(s.positive, 0) AS log_positive, p.negative + coalesce(s.negative, 0) AS log_negative,
+  SELECT h.*, p.positive + coalesce(s.positive, 0) AS log_positive, p.negative + coalesce(s.negative, 0) AS log_negative,
          CASE WHEN log_positive >= log_negative THEN 'positive' ELSE 'negative' END AS predicted
-  FROM held_out h CROSS JOIN priors p LEFT JOIN sums_by_id s USING (comment_id))"""
+  FROM {asked} h CROSS JOIN priors p LEFT JOIN sums_by_id s USING (comment_id))"""
+
+
+NB_SCORED = f"{NB}, {nb_weights('words', CUT)}, {nb_scored('balanced', 'held_out')}"
+NB_PARTS = f"""{NB},
+parts AS (
+  SELECT comment_id, review, review_text,
+         CASE WHEN {id_hash('comment_id', 'split')} < CAST(0.8 AS DOUBLE) * 4294967296 THEN 'training' ELSE 'validation' END AS data
+  FROM balanced
+  UNION ALL SELECT comment_id, review, review_text, 'prediction' FROM held_out WHERE review IS NOT NULL),
+train AS (SELECT * FROM parts WHERE data = 'training'),
+train_words AS (SELECT w.* FROM words w SEMI JOIN train USING (comment_id)),
+{nb_weights('train_words', CUT)}, {nb_scored('train', 'parts')}"""
 
 PROFILES = vocabulary.default_profiles()
 KNOWN = sorted(set().union(*PROFILES.values()))
+QUOTED_LANGS = ", ".join(f'"{x}"' for x in PROFILES)
+BEST_HITS = f"greatest({QUOTED_LANGS})"
 LANGUAGES = f"""
 tokens AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\\p{{L}}]+')) AS word FROM documents),
 hits AS (
-  SELECT doc_id, {', '.join(f"count(*) FILTER (word IN ({quoted(ws)})) AS {lang}" for lang, ws in PROFILES.items())}
+  SELECT doc_id, {', '.join(f'count(*) FILTER (word IN ({quoted(ws)})) AS "{lang}"' for lang, ws in PROFILES.items())},
+         count(*) FILTER (word IN ({quoted(KNOWN)})) AS known
   FROM tokens GROUP BY doc_id),
 detected AS (
-  SELECT doc_id, CASE {' '.join(f"WHEN {lang} > 0.5 * ({' + '.join(PROFILES)}) THEN '{lang}'" for lang in PROFILES)}
-         END AS language
+  SELECT doc_id, CASE
+    WHEN {BEST_HITS} <= 0.5 * known OR len(list_filter([{QUOTED_LANGS}], lambda h: h = {BEST_HITS})) > 1 THEN NULL
+    {' '.join(f"""WHEN "{x}" = {BEST_HITS} THEN '{x}'""" for x in PROFILES)}
+    END AS language
   FROM hits)"""
 
+TITLE_LANGUAGE = f"""
+tokens AS (
+  SELECT lang, unnest(string_split_regex(lower(text), '[^\\p{{L}}]+')) AS word FROM documents
+  WHERE lang IS NOT NULL AND {id_hash('doc_id', 'split')} < CAST(0.8 AS DOUBLE) * 4294967296),
+word_counts AS (SELECT lang, word, count(*) AS n FROM tokens WHERE word <> '' GROUP BY ALL),
+cut AS (SELECT lang, n, unnest(list_transform(range(1, length(word) + 1), lambda i: substr(' ' || word || ' ', i, 3))) AS gram FROM word_counts),
+gram_counts AS (SELECT lang, gram, sum(n) AS n FROM cut GROUP BY ALL),
+totals AS (SELECT lang, sum(n) + (SELECT count(DISTINCT gram) FROM gram_counts) AS total FROM gram_counts GROUP BY lang),
+titles AS (SELECT doc_id, unnest(string_split_regex(lower({FIRST_LINE}), '[^\\p{{L}}]+')) AS word FROM documents),
+asked AS (SELECT doc_id, unnest(list_transform(range(1, length(word) + 1), lambda i: substr(' ' || word || ' ', i, 3))) AS gram
+          FROM titles WHERE word <> ''),
+scores AS (
+  SELECT doc_id, t.lang, sum(ln(coalesce(g.n, 0) + 1) - ln(total)) AS score
+  FROM asked CROSS JOIN totals t LEFT JOIN gram_counts g ON g.lang = t.lang AND g.gram = asked.gram GROUP BY ALL),
+best AS (SELECT doc_id, max(score) AS top, max_by(lang, score) AS language FROM scores GROUP BY doc_id),
+sure AS (
+  SELECT doc_id, CASE WHEN 1 / sum(exp(score - top)) > 0.5 THEN any_value(language) END AS language
+  FROM scores JOIN best USING (doc_id) GROUP BY doc_id)"""
+
 CLOUD_STOP = quoted(vocabulary.CLOUD_STOP_WORDS)
 WORD_LIST = r"""
 list_filter(
@@ -231,16 +275,16 @@ rule AS (
   FROM labels JOIN documents USING (doc_id))"""
 
 
-def rule_metrics(by: str) -> str:
+def rule_metrics(by: str, head: str = RULE, source: str = "rule") -> str:
     def rate(part: str, whole: str) -> str:
         return f"coalesce({part} / nullif({whole}, 0), 0)"
 
-    return f"""{RULE},
+    return f"""{head},
 cells AS (
   SELECT {by}, count(*) AS total, count(*) FILTER (review = predicted) AS hit,
          count(*) FILTER (review = 'positive' AND predicted = 'positive') AS tp,
          count(*) FILTER (predicted = 'positive') AS pred, count(*) FILTER (review = 'positive') AS actual
-  FROM rule GROUP BY {by}),
+  FROM {source} GROUP BY {by}),
 found AS (
   SELECT {by}, {rate('hit', 'total')} AS accuracy, {rate('tp', 'pred')} AS precision, {rate('tp', 'actual')} AS recall,
          {rate('2 * tp', '(pred + actual)')} AS f1, {rate('(pred - tp)', '(total - actual)')} AS fpr
@@ -399,7 +443,7 @@ SELECT name, CAST(i AS INTEGER) AS line_no, l[i + 1] AS line FROM lines, range(0
        {ORDER_GAP} AS service FROM orders""",
     "city_table": f"""WITH {HOTELS} SELECT offering_id, name, hotel_class FROM hotels WHERE locality = '{CITY}'""",
     "nb_terms": f"""WITH {NB} SELECT term, review, count(*) AS n FROM words GROUP BY term, review""",
-    "nb_train": f"""WITH {NB_WEIGHTS}
+    "nb_train": f"""WITH {NB}, {nb_weights('words', '')}
 SELECT term, round(positive, 6) AS positive, round(negative, 6) AS negative FROM weights""",
     "nb_predict": f"""WITH {NB_SCORED}
 SELECT comment_id, review, CASE review WHEN 'positive' THEN 0.0::DOUBLE WHEN 'negative' THEN 1.0::DOUBLE END AS "reviewIndexed",
@@ -429,4 +473,28 @@ SELECT doc_id AS comment_id, CASE WHEN quality = 1 THEN 'positive' ELSE 'negativ
 FROM labels JOIN documents USING (doc_id)"""
 ORACLE_SQL["metrics_file"] = f"""WITH {rule_metrics('source, lang')}
 SELECT source AS "Model", lang AS data, round(accuracy, 6) AS "Accuracy", round(f1, 6) AS "F1Score" FROM found"""
+ORACLE_SQL["nb_compare"] = f"""WITH {rule_metrics('data', NB_PARTS, 'scored')}
+SELECT 'Naive Bayes' AS "Model", data, round(accuracy, 6) AS "Accuracy", round(precision, 6) AS "Precision", round(recall, 6) AS "Recall",
+       round(f1, 6) AS "F1Score", round(fpr, 6) AS "False Positive Rate", round(recall, 6) AS "True Positive Rate"
+FROM found"""
+ORACLE_SQL["title_language"] = f"""WITH {TITLE_LANGUAGE}
+SELECT doc_id AS comment_id, lang, language FROM documents LEFT JOIN sure USING (doc_id)"""
+ORACLE_SQL["title_clouds"] = f"""WITH {pairs('source', WORDS.replace('lower(text)', f'lower({clean(FIRST_LINE)})'))},
+counted AS (
+  SELECT DISTINCT source, form AS word, n FROM forms
+  UNION ALL SELECT source, form1, -n FROM terms UNION ALL SELECT source, form2, -n FROM terms),
+left_over AS (SELECT source, word, CAST(sum(n) AS BIGINT) AS n FROM counted GROUP BY source, word HAVING sum(n) > 0),
+both_kinds AS (SELECT * FROM left_over UNION ALL SELECT source, word, n FROM terms),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, word) AS r FROM both_kinds)
+SELECT source, word, n FROM ranks WHERE r <= 1000"""
+ORACLE_SQL["csv_line_round_trip"] = ORACLE_SQL["csv_round_trip"]
+ORACLE_SQL["top5_from_partials"] = ORACLE_SQL["top5_hotels"]
+ORACLE_SQL["top10_from_partials"] = ORACLE_SQL["top10_category_mean"]
+ORACLE_SQL["hotel_page_indexed"] = ORACLE_SQL["hotel_page"]
+ORACLE_SQL["hotel_numbers"] = f"""WITH {IN_CITY}, names AS (SELECT DISTINCT name FROM city)
+SELECT row_number() OVER (ORDER BY name) AS number, name FROM names"""
+ORACLE_SQL["hotel_card_clustered"] = f"""WITH {CARDS} SELECT * FROM cards WHERE name = '{CITY_HOTEL}' AND address LIKE '%, {CITY}, %'"""
+ORACLE_SQL["bucketed_join"] = f"""WITH {HOTELS}
+SELECT o_orderkey AS comment_id, offering_id, name, locality, o_orderpriority AS title, {ORDER_RATING} AS overall, {ORDER_GAP} AS service
+FROM orders JOIN hotels ON o_custkey = offering_id"""
 ORACLE_SQL["report_file"] = f"SELECT line FROM ({ORACLE_SQL['report_lines']})"

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from guestlens import schemas
 from guestlens.catalog import views
-from guestlens.catalog.views import CITY, HOTEL, TEXT_CITY, documents, table
+from guestlens.catalog.views import CITY, CITY_HOTEL, HOTEL, TEXT_CITY, documents, table
 from guestlens.functions import labels, text
 from guestlens.operators import (
     browse,
@@ -19,6 +19,7 @@ from guestlens.operators import (
     joins,
     language,
     metrics,
+    partials,
     ranking,
     reports,
     sampling,
@@ -32,6 +33,7 @@ from guestlens.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+BUCKETS = 8
 
 
 def query(fn: Query) -> Query:
@@ -166,6 +168,16 @@ def english_or_unknown(spark, sf):
     return language.keep_language(docs, keep_unknown=True).select("doc_id", "source", "lang")
 
 
+@query
+def title_language(spark, sf):
+    """Languages of first lines, by letter n-grams of four fifths of the documents."""
+    docs = documents(spark, sf).withColumnRenamed("doc_id", "comment_id")
+    train, _ = sampling.random_split(docs)
+    profiles = materialize(language.gram_profiles(train), "gram-profiles")
+    titles = docs.select("comment_id", "lang", F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"))
+    return language.with_gram_language(titles, profiles, "comment_id").select("comment_id", "lang", "language")
+
+
 @query
 def clean_reviews(spark, sf):
     reviews = etl.build_reviews(
@@ -273,6 +285,27 @@ def category_scores_all(spark, sf):
     return scores.withColumn("weighted_avg", six("weighted_avg"))
 
 
+def _partials(spark, sf):
+    """Partials of the reviews until 1995, landed, and those of later ones appended."""
+    path = new_path(spark, "partials")
+    rated = views.rating_reviews(spark, sf).withColumn("month", F.trunc("l_shipdate", "month"))
+    is_new = F.col("l_shipdate") >= "1996-01-01"
+    writers.write_table(partials.partial_scores(rated.where(~is_new), "month"), path)
+    writers.write_table(partials.partial_scores(rated.where(is_new), "month"), path, mode="append")
+    return filters.in_city(readers.read_table(spark, path), CITY)
+
+
+@query
+def top5_from_partials(spark, sf):
+    return partials.top_hotels(_partials(spark, sf))
+
+
+@query
+def top10_from_partials(spark, sf):
+    top = partials.top_by_category(_partials(spark, sf), "service", mode="mean")
+    return top.withColumn("weighted_avg", six("weighted_avg"))
+
+
 # Browsing
 
 
@@ -286,6 +319,26 @@ def hotel_at(spark, sf):
     return browse.hotel_at(views.rating_reviews(spark, sf), CITY, 3)
 
 
+@query
+def hotel_numbers(spark, sf):
+    """All hotels of the city with their numbers, by ranges."""
+    return browse.numbered(browse.hotel_names(views.rating_reviews(spark, sf), CITY))
+
+
+@query
+def hotel_page_indexed(spark, sf):
+    """A page from a written index of the numbers."""
+    return browse.page_of(materialize(hotel_numbers(spark, sf), "hotel-index"), 1)
+
+
+@query
+def hotel_card_clustered(spark, sf):
+    """One hotel from a table that is sorted by name inside each city."""
+    path = new_path(spark, "clustered")
+    writers.write_table(views.rating_reviews(spark, sf), path, cluster_by="name")
+    return browse.hotel_card(readers.read_table(spark, path), CITY_HOTEL, CITY, first_by="l_orderkey")
+
+
 @query
 def hotel_card(spark, sf):
     return browse.hotel_card(views.rating_reviews(spark, sf), HOTEL, first_by="l_orderkey")
@@ -323,6 +376,13 @@ def word_pairs(spark, sf):
     return pairs.withColumn("score", F.round("score", 4))
 
 
+@query
+def title_clouds(spark, sf):
+    """Word-cloud terms of the titles, per hotel."""
+    titles = views.text_reviews(spark, sf).select(F.col("name").alias("source"), "title")
+    return words.cloud_terms(titles, "title", ["source"])
+
+
 @query
 def cloud_terms(spark, sf):
     return words.cloud_terms(documents(spark, sf), "text", ["lang"])
@@ -376,6 +436,30 @@ def csv_round_trip(spark, sf):
     return back.select("doc_id", "source", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5"))
 
 
+@query
+def csv_line_round_trip(spark, sf):
+    """The same with a line per record, so that several tasks read a file."""
+    path = new_path(spark, "csv-lines")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    writers.write_csv(docs, path, one_line=True, compression="none")
+    back = readers.read_csv(spark, path, docs.schema, one_line=True)
+    return back.select("doc_id", "source", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5"))
+
+
+@query
+def bucketed_join(spark, sf):
+    """Reviews and hotels landed in buckets by hotel: joined without a shuffle."""
+    sides = {"reviews": etl.flat_reviews(views.order_reviews_raw(spark, sf)), "hotels": etl.flat_offerings(views.hotels_raw(spark, sf))}
+    landed = {}
+    for label, df in sides.items():
+        path = new_path(spark, label)
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        writers.write_bucketed(df, name, path, "offering_id", BUCKETS)
+        landed[label] = spark.table(name)
+    merged = etl.nan_to_null(joins.merge_reviews_offerings(landed["reviews"], landed["hotels"]))
+    return merged.select("comment_id", "offering_id", "name", "locality", "title", "overall", "service")
+
+
 @query
 def json_round_trip(spark, sf):
     path = new_path(spark, "json")
@@ -454,6 +538,15 @@ QUERIES["rf_predict"] = _predict("rf")
 QUERIES["svc_predict"] = _predict("svc")
 
 
+@query
+def svc_scored(spark, sf):
+    """The linear model as a table of weights that went through the shared folder."""
+    reviews = _text_rows(spark, sf)
+    weights = materialize(sentiment.linear_terms(recommend.train_for_city(reviews, TEXT_CITY, "svc")), "svc-weights")
+    scored = sentiment.score_linear(_model_input(reviews), weights)
+    return scored.select("comment_id", "review", F.round("margin", 6).alias("margin"), "predicted_review_label")
+
+
 @query
 def top5_predicted(spark, sf):
     reviews = _text_rows(spark, sf)
@@ -517,6 +610,13 @@ def model_compare(spark, sf):
     return compare.compare_models(_text_rows(spark, sf), TEXT_CITY)
 
 
+@query
+def nb_compare(spark, sf):
+    """Naive Bayes on its training rows, the other fifth of them, and the held-out city."""
+    found = compare.compare_models(_text_rows(spark, sf), TEXT_CITY, ["nb"])
+    return found.select("Model", F.col("Prediction Data").alias("data"), *[six(F.col(f"`{m}`")).alias(m) for m in metrics.METRICS])
+
+
 # A JSON array has about so many records.
 ARRAY_ROWS = 10_000
 

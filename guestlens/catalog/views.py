@@ -16,6 +16,8 @@ from guestlens.schemas import ADDRESS, AUTHOR, RATINGS
 from guestlens.sources.readers import read_table
 
 CITY, HOTEL, TEXT_CITY = "NATION_7", "Customer#000000007", "city0"
+# A hotel of that city.
+CITY_HOTEL = "Customer#000000087"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -29,21 +29,23 @@ def detect_language(
 ) -> Column:
     """The language code, or NULL if unsure.
 
-    Every word found in a profile is a hit for that language; the confidence of
-    a language is its share of all hits. The language whose share is above
-    ``min_confidence`` wins, and from a half up there is at most one.
+    Words that stand in any profile are known; the confidence of a language is
+    the share of them that its profile has. Related languages share words, so
+    the shares may add up to more than one: the largest wins if it is above
+    ``min_confidence`` and no other language has as large a one.
     """
-    if not 0.5 <= min_confidence < 1:
-        raise ValueError("min_confidence must be in [0.5, 1)")
+    if not 0 <= min_confidence < 1:
+        raise ValueError("min_confidence must be in [0, 1)")
     profiles = profiles or default_profiles()
     known = sorted(set().union(*profiles.values()))
 
     def winner(hits: Column) -> Column:
-        total = sum((hits[lang] for lang in profiles), F.lit(0))
-        return F.coalesce(*[F.when(hits[lang] > min_confidence * total, lang) for lang in profiles])
+        return bind(F.array_max(hits), lambda best: F.when(F.size(F.filter(hits, lambda h: h["n"] == best["n"])) == 1, best))
 
     def score(words: Column) -> Column:
-        return bind(F.struct(*[_hits(words, ws).alias(lang) for lang, ws in profiles.items()]), winner)
+        hits = F.array(*[F.struct(_hits(words, ws).alias("n"), F.lit(lang).alias("lang")) for lang, ws in profiles.items()])
+        found = bind(hits, winner)
+        return F.when(found["n"] > min_confidence * F.size(words), found["lang"])
 
     words = F.split(F.lower(text), r"[^\p{L}]+")
     return bind(F.filter(words, lambda w: w.isin(known)), score)

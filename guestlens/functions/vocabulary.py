@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StopWordsRemover
-
-# Frequent function words per language, enough to tell these languages apart.
-PROFILES = {
-    "en": "the of and to in is that it for was on are with as be at by this have from not but "
-          "they you we were had an or which very our",
-    "fr": "le la les des et du un une est que qui dans pour pas sur au aux avec ce il elle nous "
-          "vous mais ou par plus très",
-    "de": "der die das und ist zu den nicht von mit sich des auf für ein eine dem im wir ich sehr "
-          "auch es an als war aber",
-    "es": "el la los las y de que en un una es por con no se del para su al lo como más muy pero "
-          "fue nos era",
-}
+import os
+import zipfile
+from functools import cache
+from pathlib import Path
+
+import pyspark
 
 # The word cloud's default stop words.
 CLOUD_STOP_WORDS = (
@@ -40,13 +33,21 @@ SPARK_LANGUAGES = {
 }
 
 
-def default_profiles() -> dict[str, list[str]]:
-    return {lang: words.split() for lang, words in PROFILES.items()}
+@cache
+def _shipped(language: str) -> tuple[str, ...]:
+    """Spark's own list of a language, from the library file that has it; no session is needed."""
+    home = Path(os.environ.get("SPARK_HOME") or Path(pyspark.__file__).parent)
+    (library,) = (home / "jars").glob("spark-mllib_*.jar")
+    with zipfile.ZipFile(library) as files:
+        lines = files.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode().splitlines()
+    return tuple(dict.fromkeys(line.strip() for line in lines if line.strip()))
 
 
 def spark_profiles(*codes: str) -> dict[str, list[str]]:
-    """Profiles from Spark's own stop-word lists, all languages by default."""
-    return {
-        code: StopWordsRemover.loadDefaultStopWords(SPARK_LANGUAGES[code])
-        for code in codes or SPARK_LANGUAGES
-    }
+    """Profiles of languages from Spark's stop words: frequent function words. All languages by default."""
+    return {code: list(_shipped(SPARK_LANGUAGES[code])) for code in codes or SPARK_LANGUAGES}
+
+
+def default_profiles() -> dict[str, list[str]]:
+    """The words of all languages that can occur: tokens have letters only."""
+    return {code: [w for w in words if w.isalpha()] for code, words in spark_profiles().items()}

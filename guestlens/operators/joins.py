@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from guestlens.operators import filters
 
-# A group of so many rows or more is hot: its rows stay where they are read.
-# Smaller groups fit a task each, whatever their number.
+# A group of so many rows or more is hot, but no more than so many groups ever
+# are: a group also has at least that part of all rows. Smaller groups fit a
+# task each, whatever their number.
 HOT_ROWS = 1_000_000
-# Totals of hot groups are broadcast up to this many, a trillion rows' worth.
-MOST_HOT = 1_000_000
+MOST_HOT = 100_000
+# Rows of hot groups are spread over so many keys that no total has.
+SALTS = 1 << 16
 
 
 def merge_reviews_offerings(reviews: DataFrame, offerings: DataFrame, key: str = "offering_id") -> DataFrame:
@@ -36,22 +38,28 @@ def join_totals(
     """Join a table of one row per key back to its rows, safe for hot keys.
 
     A window would pull a whole group into one task, and AQE cannot split a
-    skewed join against an aggregate. So rows of groups of ``HOT_ROWS`` or more
-    by ``size`` meet their totals by broadcast and never enter a shuffle; all
-    other rows are joined by key. The number of hot groups is at most that of
-    all rows by ``HOT_ROWS``; beyond ``MOST_HOT`` of them the planner chooses.
+    skewed join against an aggregate. So rows first meet the totals of hot groups,
+    those of ``HOT_ROWS`` or more by ``size``, by broadcast: ``MOST_HOT`` rows at
+    most. Then all rows are joined by key and salt. Rows that have their total
+    already get salts of their own, which no total has, so they spread evenly; all
+    others have salt 0. The salt also gives the totals a shuffle of their own,
+    whose join AQE may split or turn into a broadcast.
+
+    Only a plan is built. It reads ``rows`` once; hot groups, the bound on them and
+    the totals come from the same shuffle of ``totals``.
     """
     columns = [F.col(f"`{c}`") for c in rows.columns]
     totals = filters.with_values(totals, keys).where(F.col(size) > 0).select(*keys, size, *[n for n in names if n != size])
-    is_hot = F.col(size) >= HOT_ROWS
-    hot = totals.where(is_hot)
-    mark = F.broadcast if hot.limit(MOST_HOT + 1).count() <= MOST_HOT else lambda df: df
-    named = [F.col(n).alias(f"_total_{n}") for n in names]
-    met = rows.join(mark(hot.select(*keys, *named)), keys)
-    cold = rows.join(mark(hot.select(*keys)), keys, "left_anti")
-    cold = cold.join(totals.where(~is_hot).select(*keys, *named), keys, how)
-    found = [F.col(f"_total_{n}").alias(n) for n in names]
-    return met.select(*columns, *found).unionByName(cold.select(*columns, *found))
+    least = totals.select(F.sum(size) / F.lit(MOST_HOT)).scalar()
+    hot = totals.where((F.col(size) >= HOT_ROWS) & (F.col(size) >= least))
+    hot = hot.select(*keys, F.struct(*[F.col(n) for n in names]).alias("_hot"))
+    spread = F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int") + 1
+    met = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(spread))
+    salted = totals.select(*keys, F.lit(0).alias("_salt"), F.struct(*[F.col(n) for n in names]).alias("_total"))
+    joined = met.join(salted, [*keys, "_salt"], "left").withColumn("_total", F.coalesce("_hot", "_total"))
+    if how == "inner":
+        joined = joined.where(F.col("_total").isNotNull())
+    return joined.select(*columns, *[F.col("_total").getField(n).alias(n) for n in names])
 
 
 def join_predictions(reviews: DataFrame, predictions: DataFrame, key: str = "comment_id") -> DataFrame:

@@ -62,8 +62,6 @@ def category_scores(
     ``mode='mean'`` by its average. The global mean comes from the per-hotel
     sums as a scalar subquery over the same aggregate.
     """
-    if mode not in ("max", "mean"):
-        raise ValueError(f"unknown mode {mode!r}")
     hotels = (
         impute_category(reviews, category, label)
         .groupBy(key)
@@ -75,6 +73,13 @@ def category_scores(
             F.count(category).alias("_n"),
         )
     )
+    return smoothed(hotels, mode, key)
+
+
+def smoothed(hotels: DataFrame, mode: str, key: str = "name") -> DataFrame:
+    """Category scores from one row per hotel: review_count, positive_counts, _best, _sum and _n of the category."""
+    if mode not in ("max", "mean"):
+        raise ValueError(f"unknown mode {mode!r}")
     # Always true. It names every column, so that the scalar subquery plans the
     # same shuffle as the ranking and Spark runs it, and the scoring below it, once.
     whole = (F.col("review_count") >= F.col("positive_counts")) & (F.col("_best").isNull() | (F.col("_n") > 0))
@@ -93,6 +98,9 @@ def top_by_category(
     key: str = "name",
     label: str = PREDICTED,
 ) -> DataFrame:
+    return top_scores(category_scores(reviews, category, mode, key, label), k, key)
+
+
+def top_scores(scores: DataFrame, k: int = TOP_CATEGORY, key: str = "name") -> DataFrame:
     order = F.desc_nulls_last("weighted_avg"), F.desc("positive_counts"), F.asc(key)
-    scores = category_scores(reviews, category, mode, key, label)
     return ranked(scores.orderBy(*order).limit(k), *order)

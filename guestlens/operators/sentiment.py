@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import (
     CountVectorizer,
     CountVectorizerModel,
@@ -12,7 +12,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     Tokenizer,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -29,9 +29,10 @@ SETTINGS = {
 MODEL_NAMES = {"nb": "Naive Bayes", "rf": "Random Forest Classifier", "svc": "Linear SVC"}
 LABEL_ORDER = [labels.POSITIVE, labels.NEGATIVE]
 VOCAB_SIZE = 1 << 18
-# The forest keeps 4 * vocab_size bytes per training row, so it learns from at
-# most about so many labelled rows, chosen by a hash of their id.
-FOREST_ROWS = 20_000
+# The forest keeps 4 bytes per training row and term, so it looks at the terms
+# that tell the classes apart best and learns from at most about so many labelled
+# rows, chosen by a hash of their id: at most 0.8 GB in all, whatever the vocabulary.
+FOREST_TERMS, FOREST_ROWS = 1 << 11, 100_000
 TERMS = "words_without_stopwords"
 
 ESTIMATORS = {"nb": NaiveBayes, "rf": RandomForestClassifier, "svc": LinearSVC}
@@ -65,12 +66,33 @@ def frequent_terms(train: DataFrame, size: int = VOCAB_SIZE, stop_words: list[st
     return counts.where(F.col("n") >= full_at).orderBy(*order).limit(size)
 
 
+def telling_terms(train: DataFrame, size: int = FOREST_TERMS, stop_words: list[str] | None = None) -> DataFrame:
+    """The ``size`` terms whose presence depends most on the class, by the chi-square statistic; ties by term.
+
+    One map-side-combined count of rows per term and class and a top-k of bounded size.
+    """
+    tokenizer, remover = word_stages(stop_words)
+    rows = remover.transform(tokenizer.transform(train.where(F.col("review").isin(LABEL_ORDER))))
+    is_positive = F.col("review") == labels.POSITIVE
+    sizes = rows.select(F.count_if(is_positive).alias("p"), F.count("*").alias("n"))
+    p, n = (sizes.select(F.col(c).cast("double")).scalar() for c in ("p", "n"))
+    terms = rows.select(is_positive.alias("_p"), F.explode(F.array_distinct(TERMS)).alias("term"))
+    counts = terms.groupBy("term").agg(F.count_if("_p").alias("a"), F.count("*").alias("t"))
+    off = F.col("a") * n - F.col("t") * p
+    whole = F.nullif(F.col("t") * (n - F.col("t")) * p * (n - p), F.lit(0.0))
+    scored = counts.select("term", F.coalesce(n * off * off / whole, F.lit(0.0)).alias("score"))
+    return scored.orderBy(F.desc("score"), F.asc("term")).limit(size)
+
+
 def fit_vocabulary(
     train: DataFrame, size: int = VOCAB_SIZE, stop_words: list[str] | None = None
 ) -> CountVectorizerModel:
     """Count vectors over the frequent terms; only those reach the driver."""
-    terms = frequent_terms(train, size, stop_words).select(F.array("term").alias(TERMS))
-    return CountVectorizer(inputCol=TERMS, outputCol="features", vocabSize=size).fit(terms)
+    return _vectorizer(frequent_terms(train, size, stop_words), size)
+
+
+def _vectorizer(terms: DataFrame, size: int) -> CountVectorizerModel:
+    return CountVectorizer(inputCol=TERMS, outputCol="features", vocabSize=size).fit(terms.select(F.array("term").alias(TERMS)))
 
 
 def fit(
@@ -86,7 +108,8 @@ def fit(
 
     Expects complete rows; ``train`` is read several times, so materialize it.
     ``max_training_rows`` bounds the labelled rows by a sample; the forest, which
-    bins every feature of every row into a dense array, has ``FOREST_ROWS``.
+    bins every feature of every row into a dense array, has ``FOREST_ROWS`` and
+    its ``FOREST_TERMS`` most telling terms.
     """
     most = max_training_rows or (FOREST_ROWS if kind == "rf" else None)
     if most is not None and "comment_id" in train.columns and (n := train.count()) > most:
@@ -95,11 +118,15 @@ def fit(
         featuresCol="features", labelCol="reviewIndexed", predictionCol="prediction", **SETTINGS[kind] | settings
     )
     if kind == "rf":
+        width = min(vocab_size, FOREST_TERMS)
+        vectorizer = _vectorizer(telling_terms(train, width, stop_words), width)
         # deep trees: keep each row's place in the tree instead of walking it again
         estimator.setSeed(seed).setCacheNodeIds(True)
+    else:
+        vectorizer = fit_vocabulary(train, vocab_size, stop_words)
     stages = [
         *word_stages(stop_words),
-        fit_vocabulary(train, vocab_size, stop_words),
+        vectorizer,
         StringIndexerModel.from_labels(LABEL_ORDER, inputCol="review", outputCol="reviewIndexed"),
         estimator,
         IndexToString(inputCol="prediction", outputCol="predicted_review_label", labels=LABEL_ORDER),
@@ -150,3 +177,32 @@ def term_weights(counts: DataFrame) -> DataFrame:
         "term",
         *[(F.log(F.col(c) + 1) - F.log(by_term.select(F.sum(c)).scalar() + size)).alias(c) for c in LABEL_ORDER],
     )
+
+
+def linear_terms(model: PipelineModel) -> DataFrame:
+    """(term, weight): a fitted linear SVC as a table; the row without a term has the intercept.
+
+    The vocabulary has ``vocab_size`` terms at most, so the table has a bounded size.
+    """
+    vectorizer = next(s for s in model.stages if isinstance(s, CountVectorizerModel))
+    svc = next(s for s in model.stages if isinstance(s, LinearSVCModel))
+    spark = SparkSession.active()
+    weights = [(t, float(w)) for t, w in zip(vectorizer.vocabulary, svc.coefficients.toArray()) if w]
+    return spark.createDataFrame([(None, float(svc.intercept)), *weights], "term string, weight double")
+
+
+def score_linear(rows: DataFrame, weights: DataFrame, key: str = "comment_id", stop_words: list[str] | None = None) -> DataFrame:
+    """Score ``review_text`` by a table of weights: a join by term and a sum per review.
+
+    No model object travels: the weights may be of any size, are stored and
+    joined like any table, and only the reviews' terms, counted before the
+    shuffle, meet them. ``margin`` is above 0 for the second class of
+    ``LABEL_ORDER``, as the estimator has it. ``key`` is unique; all columns
+    ride along.
+    """
+    intercept = weights.where("term IS NULL").select(F.coalesce(F.sum("weight"), F.lit(0.0))).scalar()
+    counts = _terms(rows.select(key, "review_text"), stop_words).groupBy(key, "term").agg(F.count("*").alias("n"))
+    sums = counts.join(weights.where("term IS NOT NULL"), "term").groupBy(key).agg(F.sum(F.col("n") * F.col("weight")).alias("_sum"))
+    margin = F.coalesce("_sum", F.lit(0.0)) + intercept
+    label = F.when(F.col("margin") > 0, LABEL_ORDER[1]).otherwise(LABEL_ORDER[0])
+    return rows.join(sums, key, "left").withColumn("margin", margin).drop("_sum").withColumn("predicted_review_label", label)

@@ -17,7 +17,7 @@ spec.loader.exec_module(entry)
 QUERIES, SQL = queries.QUERIES, oracle.ORACLE_SQL
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 # Randomized or iterative estimators have no SQL twin.
-ROWS_ONLY = {"rf_predict", "svc_predict", "model_compare"}
+ROWS_ONLY = {"rf_predict", "svc_predict", "svc_scored", "model_compare"}
 
 
 def canonical(rows):
