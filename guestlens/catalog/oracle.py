@@ -487,6 +487,12 @@ left_over AS (SELECT source, word, CAST(sum(n) AS BIGINT) AS n FROM counted GROU
 both_kinds AS (SELECT * FROM left_over UNION ALL SELECT source, word, n FROM terms),
 ranks AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, word) AS r FROM both_kinds)
 SELECT source, word, n FROM ranks WHERE r <= 1000"""
+MANY_SCORED = NB_SCORED.replace("source AS name", "concat_ws('-', source, lang) AS name")
+ORACLE_SQL["top5_of_many"] = f"""WITH {MANY_SCORED},
+totals AS (SELECT name, count(*) AS review_count, count(*) FILTER (predicted = 'positive') AS positive_counts
+           FROM scored GROUP BY name)
+SELECT *, row_number() OVER (ORDER BY positive_counts DESC, name) AS rank FROM totals ORDER BY rank LIMIT 5"""
+ORACLE_SQL["top10_of_many"] = "WITH " + top_category(MANY_SCORED, "scored", "service", "mean", "predicted")
 ORACLE_SQL["csv_line_round_trip"] = ORACLE_SQL["csv_round_trip"]
 ORACLE_SQL["top5_from_partials"] = ORACLE_SQL["top5_hotels"]
 ORACLE_SQL["top10_from_partials"] = ORACLE_SQL["top10_category_mean"]

@@ -479,10 +479,10 @@ def city_table(spark, sf):
 # Classifiers
 
 
-def _text_rows(spark, sf):
+def _text_rows(spark, sf, hotel=None):
     """The clean review table, landed by city, for training and scoring."""
     path = new_path(spark, "reviews")
-    writers.write_table(views.text_reviews(spark, sf), path)
+    writers.write_table(views.text_reviews(spark, sf, hotel), path)
     return readers.read_table(spark, path)
 
 
@@ -561,6 +561,25 @@ def top10_predicted_service(spark, sf):
     return top.withColumn("weighted_avg", six("weighted_avg"))
 
 
+def _many_hotels(spark, sf):
+    """As many hotels as sources and languages, so that rankings have more than they show; and a model."""
+    reviews = _text_rows(spark, sf, F.concat_ws("-", "source", "lang"))
+    return reviews, recommend.train_for_city(reviews, TEXT_CITY)
+
+
+@query
+def top5_of_many(spark, sf):
+    reviews, model = _many_hotels(spark, sf)
+    return recommend.top_hotels_of_city(reviews, TEXT_CITY, model)
+
+
+@query
+def top10_of_many(spark, sf):
+    reviews, model = _many_hotels(spark, sf)
+    top = recommend.top_category_of_city(reviews, TEXT_CITY, "service", model, mode="mean")
+    return top.withColumn("weighted_avg", six("weighted_avg"))
+
+
 # Metrics
 
 

@@ -153,14 +153,17 @@ def sources_raw(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def text_reviews(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as clean reviews; the label is NULL where none is given."""
+def text_reviews(spark: SparkSession, sf: str, hotel=None) -> DataFrame:
+    """Documents as clean reviews; the label is NULL where none is given.
+
+    A hotel is a source, or what ``hotel`` says.
+    """
     rated = documents(spark, sf).join(table(spark, sf, "labels"), "doc_id", "left")
     overall = F.when(F.col("quality") == 1, 4.0).when(F.col("quality") == 0, 2.0)
     title = F.split_part("text", F.lit("\n"), F.lit(1))
     return rated.select(
         F.col("doc_id").alias("comment_id"),
-        F.col("source").alias("name"),
+        (F.col("source") if hotel is None else hotel).alias("name"),
         text_city().alias("locality"),
         text.clean_text(title).alias("title"),
         text.clean_text(F.col("text")).alias("text"),
