@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from guestlens.llm import hashing
@@ -27,7 +28,7 @@ SHARED = 4
 # A shared shingle has one of so many hubs among the groups that have it.
 HUBS = 16
 # Turns of hubs, each with others, while a turn links a hundredth of the nodes.
-ROUNDS = 4
+ROUNDS = 5
 LAST = (1 << 63) - 1  # stands for a null doc_id, which is smaller than none
 _SLOTS = 22  # bits of a hash that name its slot among common ones
 
@@ -345,6 +346,9 @@ def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
 def _stars(hits: DataFrame, leaders: DataFrame, found: DataFrame, turn: int) -> DataFrame:
     """Pairs of leaders of different components: each group with the hubs of its shared shingles.
 
+    In the first turn the hub of a shingle is the group most of whose prefix other
+    groups have as well: the text that near copies were made of shares all of it,
+    a copy not the shingles that are its own. Later turns take hubs by hash.
     Only guesses that join most of what belongs together: whatever is left out
     here meets in ``_between``.
     """
@@ -353,7 +357,13 @@ def _stars(hits: DataFrame, leaders: DataFrame, found: DataFrame, turn: int) ->
     label = materialize(label, "group-labels")
     of_hub = F.xxhash64("grp", F.pmod(F.col("token"), F.lit(HUBS)), F.lit(turn)).alias("_h")
     open_ = join_small(hits, label, ["grp"], "inner")
-    hubs = open_.groupBy("token").agg(F.min(F.struct(of_hub, "leader", "n", "_c")).alias("_hub"))
+    if turn == 0:
+        # A group's shingles are no more than its text's.
+        part = -F.count("*").over(W.partitionBy("grp")) / _prefix(F.col("n"))
+        open_ = open_.withColumn("_part", part)
+    else:
+        open_ = open_.withColumn("_part", F.lit(0.0))
+    hubs = open_.groupBy("token").agg(F.min(F.struct("_part", of_hub, "leader", "n", "_c")).alias("_hub"))
     hubs = hubs.select("token", F.col("_hub.leader").alias("_g"), F.col("_hub.n").alias("_m"), F.col("_hub._c").alias("_d"))
     stars = open_.join(materialize(hubs, "hubs"), "token").where((F.col("_c") != F.col("_d")) & _sizes_fit())
     stars = stars.select(F.greatest("leader", "_g").alias("a"), F.least("leader", "_g").alias("b"), "n", "_m")

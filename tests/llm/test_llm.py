@@ -305,6 +305,24 @@ def test_jaccard_inside_one_group(spark, tmp_path, monkeypatch):
     assert got == {i: i - (i % 10 == 2) for i, _ in pairs}
 
 
+def test_near_copies_meet_at_the_text_they_were_made_of(spark, tmp_path, monkeypatch):
+    """Copies that link with the original alone become one component in the first turn of hubs."""
+    draw = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(60)]
+    pairs = [(0, " ".join(words))]
+    for i in range(1, 200):
+        own = list(words)
+        own[int(draw.integers(60))] = f"own{i}"
+        pairs.append((i, " ".join(own)))
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(pairs, "doc_id long, text string").write.parquet(path)
+    left = []
+    between = jaccard._between
+    monkeypatch.setattr(jaccard, "_between", lambda *a: left.append(between(*a).count()) or between(*a))
+    got = {r.component_id for r in jaccard.near_duplicates(spark.read.parquet(path)).collect()}
+    assert got == {0} and left == [0]
+
+
 def test_prefix_bound():
     """Linked sets share as many prefix shingles as the bound says, at all sizes."""
     draw = np.random.default_rng(1)
