@@ -35,15 +35,17 @@ def text_key(text: str = "text") -> Column:
     return F.when(F.col(text).isNotNull(), key)
 
 
-def join_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str, spread: Column | None = None) -> DataFrame:
+def join_small(
+    rows: DataFrame, small: DataFrame, keys: list[str], how: str, spread: Column | None = None, most: int = BROADCAST_ROWS
+) -> DataFrame:
     """Join rows to a table with one row per key.
 
-    The table is counted first; keys may repeat in it if there is no salt. Up to ``BROADCAST_ROWS`` it is broadcast. Beyond
+    The table is counted first; keys may repeat in it if there is no salt. Up to ``most`` rows it is broadcast. Beyond
     that both sides are shuffled. Where keys repeat in ``rows`` and may be hot,
     the table is then repeated once per salt, and rows pick a salt by ``spread``,
     a number that differs between rows of one key.
     """
-    if small.count() <= BROADCAST_ROWS:
+    if small.count() <= most:
         return rows.join(F.broadcast(small), keys, how)
     if spread is None:
         return rows.join(small, keys, how)

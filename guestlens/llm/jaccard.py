@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from guestlens.llm import hashing
-from guestlens.llm.common import WORD, join_small, landed, materialize, slices
+from guestlens.llm import common, hashing
+from guestlens.llm.common import WORD, landed, materialize, slices
 from guestlens.llm.components import components
 
 SHINGLE = 5
@@ -30,6 +31,9 @@ HUBS = 16
 # Turns of hubs, each with others, while a turn links a hundredth of the nodes.
 ROUNDS = 5
 LAST = (1 << 63) - 1  # stands for a null doc_id, which is smaller than none
+# Tables about nodes are broadcast up to so many rows: what is a hundredth of an input is soon more.
+SMALL = 10_000
+join_small = partial(common.join_small, most=SMALL)
 _SLOTS = 22  # bits of a hash that name its slot among common ones
 
 
