@@ -354,7 +354,8 @@ WHERE language = 'en'""",
     "english_or_unknown": f"""WITH {LANGUAGES} SELECT doc_id, source, lang FROM documents JOIN detected USING (doc_id)
 WHERE language = 'en' OR language IS NULL""",
     "clean_reviews": f"""WITH {LANGUAGES}
-SELECT doc_id AS comment_id, source AS name, {TEXT_LOCALITY} AS locality, 'July' AS month_stayed,
+SELECT doc_id AS comment_id, source AS name, {TEXT_LOCALITY} AS locality, 'region' || ({SOURCE_NUMBER} % 3) AS region,
+       CAST({SOURCE_NUMBER} % 6 AS DOUBLE) AS hotel_class, strftime(make_date(2012, doc_id % 12 + 1, 1), '%B') AS month_stayed,
        CAST(CASE quality WHEN 1 THEN 4 WHEN 0 THEN 2 END AS DOUBLE) AS overall,
        CASE WHEN quality = 1 THEN 'positive' ELSE 'negative' END AS review,
        md5({clean(FIRST_LINE)}) AS title_md5, md5({clean('text')}) AS text_md5

@@ -184,7 +184,7 @@ def clean_reviews(spark, sf):
         views.document_reviews_raw(spark, sf), views.sources_raw(spark, sf), detect_on="text"
     )
     return reviews.select(
-        "comment_id", "name", "locality", "month_stayed", "overall", "review",
+        "comment_id", "name", "locality", "region", "hotel_class", "month_stayed", "overall", "review",
         F.md5("title").alias("title_md5"), F.md5("text").alias("text_md5"),
     )
 

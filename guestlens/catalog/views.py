@@ -28,7 +28,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents")
 
 
-def _month_year(ts: str):
+def _month_year(ts):
     return F.date_format(ts, "MMMM yyyy")
 
 
@@ -129,7 +129,7 @@ def document_reviews_raw(spark: SparkSession, sf: str) -> DataFrame:
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
         "text",
         author.alias("author"),
-        F.lit("July 2012").alias("date_stayed"),
+        _month_year(F.make_date(F.lit(2012), (F.col("doc_id") % 12 + 1).cast("int"), F.lit(1))).alias("date_stayed"),
         _source_number().alias("offering_id"),
         F.lit(0).cast("bigint").alias("num_helpful_votes"),
         F.lit(None).cast("string").alias("date"),
@@ -142,10 +142,10 @@ def sources_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Document sources as nested offerings records."""
     address = F.struct(
         F.lit("1 Main Street").alias("street-address"), text_city().alias("locality"),
-        F.lit("R").alias("region"), F.lit(None).cast("string").alias("postal-code"),
+        F.concat(F.lit("region"), _source_number() % 3).alias("region"), F.lit(None).cast("string").alias("postal-code"),
     )
     return table(spark, sf, "documents").select("source").distinct().select(
-        F.lit(3.0).alias("hotel_class"), F.lit(1).cast("bigint").alias("region_id"),
+        (_source_number() % 6).cast("double").alias("hotel_class"), (_source_number() % 3).alias("region_id"),
         F.concat(F.lit("/hotel/"), "source").alias("url"),
         F.lit(None).cast("string").alias("phone"), F.lit(None).cast("string").alias("details"),
         address.alias("address"), F.lit("hotel").alias("type"),
