@@ -130,22 +130,29 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     meets in no single task. Only places travel back to the texts, in lists as
     long as their document at most.
     """
-    rows = docs.select("text", "_order", "_ref")
-    levels = lengths(window)
-    seeds = rows.select("text", "_order").mapInArrow(_seed_rows(levels[1], False), "seed long, _order long")
-    alive = materialize(_in_several(seeds, ["seed"]).select("seed"), "seeds")
-    found = rows.select("text", "_ref").mapInArrow(_seed_rows(levels[1], True), "seed long, _ref long, first int, n int")
-    runs = found.join(alive, "seed", "left_semi")
+    spark, rows, levels = docs.sparkSession, docs.select("text", "_order", "_ref"), lengths(window)
+    runs = landed(spark, "runs", lambda: _by_document(_seed_runs(rows, levels[1])))
     schema = "h1 long, h2 long, _order long, _ref long, at int"
     for below, length in zip([0, *levels[1:]], levels[1:]):
-        runs = runs.groupBy("_ref").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
-        runs = materialize(runs, "runs")
         # Read twice, hashed twice: the windows themselves would fill more disk than the texts.
         opened = rows.join(runs, "_ref").mapInArrow(_window_rows(length, below), schema)
-        firsts = materialize(_window_firsts(opened), "window-firsts")
+        firsts = landed(spark, "window-firsts", lambda: _window_firsts(opened))
         if length == window or firsts.isEmpty():
             return _later(opened, firsts)
-        runs = _repeated(opened, firsts).select("_ref", F.col("at").alias("first"), F.lit(1).alias("n"))
+        repeated = _repeated(opened, firsts).select("_ref", F.col("at").alias("first"), F.lit(1).alias("n"))
+        runs = landed(spark, "runs", lambda: _by_document(repeated))
+
+
+def _seed_runs(rows: DataFrame, window: int) -> DataFrame:
+    """(_ref, first, n): the runs of windows whose seed stands in documents of different order."""
+    seeds = rows.select("text", "_order").mapInArrow(_seed_rows(window, False), "seed long, _order long")
+    alive = materialize(_in_several(seeds, ["seed"]), "seeds")
+    found = rows.select("text", "_ref").mapInArrow(_seed_rows(window, True), "seed long, _ref long, first int, n int")
+    return found.join(alive, "seed", "left_semi").drop("seed")
+
+
+def _by_document(runs: DataFrame) -> DataFrame:
+    return runs.groupBy("_ref").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
 
 
 def _in_several(rows: DataFrame, keys: list[str]) -> DataFrame:
