@@ -1,4 +1,4 @@
-"""Quality classifier: perplexity under a Kneser-Ney model of trusted text."""
+"""Quality classifier: perplexities under Kneser-Ney models of trusted text."""
 
 from __future__ import annotations
 
@@ -8,10 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guestlens.llm import kneser_ney
+from guestlens.llm import kneser_ney, word_model
 from guestlens.llm.common import join_small, materialize, slices
 
-REACH = 6.0
+REACH, WORD_REACH = 6.0, 3.0
 
 
 def _score(model: kneser_ney.Table):
@@ -22,7 +22,7 @@ def _score(model: kneser_ney.Table):
             symbols = [sum(len(w.decode()) + 1 for w in own) for own in words]
             logs = scorer.texts(words)
             yield pa.RecordBatch.from_pydict({
-                "_row": batch.column("_row"),
+                "text_hash": batch.column("text_hash"),
                 "doc_id": batch.column("doc_id"),
                 "lang": batch.column("lang"),
                 "n_symbols": pa.array(symbols, pa.int64()),
@@ -32,15 +32,16 @@ def _score(model: kneser_ney.Table):
     return run
 
 
-def classify(docs: DataFrame, trusted: DataFrame, reach: float = REACH) -> DataFrame:
-    """doc_id, lang, n_symbols, log_perplexity, threshold, good of every document.
+def classify(docs: DataFrame, trusted: DataFrame, reach: float = REACH, word_reach: float = WORD_REACH) -> DataFrame:
+    """doc_id, lang, n_symbols, log_perplexity, threshold, word_log_perplexity, word_threshold, good of every document.
 
-    ``trusted`` lists doc_ids. The model counts the whole texts of all trusted
-    documents. The 4-grams of all documents are joined with its counts, shard by
+    ``trusted`` lists doc_ids. Two models count the whole texts of all trusted
+    documents: one the characters in words, one the words in order
+    (``word_model``). The grams of all documents are joined with the counts, shard by
     shard, which gives each its probability; documents add them up. A document
-    is good if its log perplexity is at most its language's threshold: from the
+    is good if each log perplexity is at most its language's threshold: from the
     quantiles of the trusted documents of that language, the upper quartile and
-    ``reach`` spreads more.
+    ``reach`` or ``word_reach`` spreads more.
 
     Null, empty and wordless texts have no perplexity and are not good. A null
     language is a language of its own; one without trusted documents has the
@@ -48,20 +49,28 @@ def classify(docs: DataFrame, trusted: DataFrame, reach: float = REACH) -> DataF
     ``trusted`` change nothing. Without trusted documents nothing is good. An
     empty table gives an empty result.
     """
-    rows = docs.select("doc_id", "text", "lang", F.monotonically_increasing_id().alias("_row"))
+    rows = docs.select("doc_id", "text", "lang", F.xxhash64("text").alias("text_hash"))
+    spread = F.xxhash64("doc_id", "text_hash")
     listed = materialize(trusted.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "trusted")
-    known = join_small(rows, listed, ["doc_id"], "left_semi", F.col("_row"))
+    known = join_small(rows, listed, ["doc_id"], "left_semi", spread)
     model = kneser_ney.train(kneser_ney.count_grams(known, "trusted-grams"), "trusted-model")
     asked = kneser_ney.count_grams(rows, "corpus-grams")
     table = kneser_ney.Table(materialize(kneser_ney.probabilities(asked, model), "corpus-p"))
-    schema = "_row long, doc_id long, lang string, n_symbols long, log_perplexity double"
-    scored = materialize(rows.mapInArrow(_score(table), schema), "scores").withColumn("_lang", F.struct("lang"))
-    base = join_small(scored, listed, ["doc_id"], "left_semi", F.col("_row")).where(F.col("log_perplexity").isNotNull())
+    marked = join_small(rows, listed.withColumn("_known", F.lit(True)), ["doc_id"], "left", spread)
+    words = word_model.perplexities(marked, F.col("_known").isNotNull(), "trusted-words")
+    schema = "text_hash long, doc_id long, lang string, n_symbols long, log_perplexity double"
+    scored = materialize(rows.mapInArrow(_score(table), schema), "scores")
+    scored = materialize(join_small(scored, words, ["text_hash"], "left", F.xxhash64("doc_id")), "word-scores").withColumn("_lang", F.struct("lang"))
+    base = join_small(scored, listed, ["doc_id"], "left_semi", spread).where(F.col("log_perplexity").isNotNull())
     base = materialize(base, "trusted-scores")
-    bands = materialize(kneser_ney.fences(base, "_lang", "log_perplexity", reach), "bands")
-    pooled = kneser_ney.fences(base.withColumn("_all", F.lit(0)), "_all", "log_perplexity", reach).select("high").first()
-    joined = join_small(scored, bands, ["_lang"], "left", F.col("_row"))
-    threshold = F.coalesce("high", F.lit(float(pooled[0]) if pooled else None).cast("double"))
-    return joined.select("doc_id", "lang", "n_symbols", "log_perplexity", threshold.alias("threshold")).withColumn(
-        "good", F.coalesce(F.col("log_perplexity") <= F.col("threshold"), F.lit(False))
+    kinds = [("", "log_perplexity", reach), ("word_", "word_log_perplexity", word_reach)]
+    for kind, value, far in kinds:
+        bands = kneser_ney.fences(base, "_lang", value, far).select("_lang", F.col("high").alias(f"_{kind}high"))
+        pooled = kneser_ney.fences(base.withColumn("_all", F.lit(0)), "_all", value, far).select("high").first()
+        scored = join_small(scored, materialize(bands, f"{kind}bands"), ["_lang"], "left", spread)
+        threshold = F.coalesce(f"_{kind}high", F.lit(float(pooled[0]) if pooled else None).cast("double"))
+        scored = scored.withColumn(f"{kind}threshold", threshold)
+    good = [F.coalesce(F.col(value) <= F.col(f"{kind}threshold"), F.lit(False)) for kind, value, _ in kinds]
+    return scored.select(
+        "doc_id", "lang", "n_symbols", "log_perplexity", "threshold", "word_log_perplexity", "word_threshold", (good[0] & good[1]).alias("good")
     )

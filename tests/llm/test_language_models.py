@@ -6,8 +6,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
-from guestlens.llm import kneser_ney, quality_model, quality_rules, toxicity
+from guestlens.llm import kneser_ney, quality_model, quality_rules, toxicity, word_model
 
 TEXTS = [
     (1, "the cat sat on the mat. The cat, the CAT!", "en"), (2, "a dog and 12 cats sat", "en"), (3, "le chat été noir", "fr"),
@@ -175,3 +176,76 @@ def test_toxicity_scores_against_brute_force(spark, tmp_path):
         want = 1 / (1 + math.exp(-float(np.dot(weights[:3], features[i]) + weights[3])))
         assert row.score == pytest.approx(want, rel=1e-6, abs=1e-9)
         assert row.held_out == (i not in learn) and row.predicted == int(want >= 0.7)
+
+
+def brute_words(texts, learned):
+    """Log perplexities of texts under the word model of the learned ones: three words, level by level."""
+    def grams(text):
+        words = ["", "", *text.split()]
+        return [tuple(words[k - 2 : k + 1]) for k in range(2, len(words))]
+
+    level, levels = Counter(g for t in learned for g in grams(t)), []
+    for _ in range(3):
+        levels.insert(0, level)
+        level = Counter(g[1:] for g in level)
+    of = [defaultdict(list) for _ in levels]
+    for own, counts in zip(of, levels):
+        for gram, n in counts.items():
+            own[gram[:-1]].append(n)
+
+    def p(gram):
+        out = 1 / (len(levels[0]) + 1)
+        for order, (counts, own) in enumerate(zip(levels, of), 1):
+            d, mine = discounts(counts), gram[3 - order :]
+            if context := own.get(mine[:-1]):
+                n = counts.get(mine, 0)
+                off = d[min(n, 3) - 1] if n else 0
+                out = (n - off + sum(d[min(c, 3) - 1] for c in context) * out) / sum(context)
+        return out
+
+    return {t: -sum(math.log(p(g)) for g in grams(t)) / len(t.split()) for t in texts}
+
+
+PROSE = ["the cat sat on the mat and", "the dog sat by the old mill", "a cat and a dog sat by the mat", "mill and mat and cat"]
+
+
+def test_word_perplexities_against_brute_force(spark):
+    """Each text by the texts of the other fold; words, their order and copies across lines count."""
+    draw = np.random.default_rng(5)
+    texts = [" ".join(draw.choice(" ".join(PROSE).split(), 30)) + " " + PROSE[i % 4] for i in range(12)]
+    texts += [texts[0].replace(" ", "\n", 3), "the\ncat #### sat | 2 | ON THE MAT"]
+    rows = spark.createDataFrame([(t,) for t in [*texts, texts[1], "", None]], "text string").withColumn("text_hash", F.xxhash64("text"))
+    fold = {r.text: r.text_hash % 2 for r in rows.collect() if r.text}
+    for known in (set(texts), set(texts[:9])):
+        found = word_model.perplexities(rows, F.col("text").isin(sorted(known)), "test-words")
+        got = {r.text: r.word_log_perplexity for r in found.join(rows.distinct(), "text_hash").collect()}
+        want = {}
+        for k in (0, 1):
+            learned = [t for t in [*texts, texts[1]] if t in known and fold[t] != k]
+            want |= brute_words([t for t in fold if fold[t] == k], learned)
+        assert set(got) == set(fold)
+        for t in fold:
+            assert got[t] == pytest.approx(want[t], rel=1e-5), t
+
+
+@pytest.fixture(scope="module")
+def chains(spark, tmp_path_factory):
+    """Sentences whose words follow each other in few ways, and the same words out of order."""
+    draw, rows = np.random.default_rng(1), []
+    for i in range(160):
+        words = [f"word{10 * start + k}" for start in draw.permutation(200)[:12] for k in range(10)]
+        rows.append((i, " ".join(words), "en"))
+    for i in range(160, 166):
+        rows.append((i, " ".join(draw.permutation(rows[i - 160][1].split())), "en"))
+    path = str(tmp_path_factory.mktemp("chains") / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_words_out_of_order_fail(spark, chains):
+    trusted = spark.range(160).select(F.col("id").alias("doc_id"))
+    good = {r.doc_id: r.good for r in quality_model.classify(chains, trusted).collect()}
+    kept = {r.doc_id: r.kept for r in quality_rules.rate_documents(chains).collect()}
+    for verdict in (good, kept):
+        taken = {i for i, v in verdict.items() if v}
+        assert max(taken) < 160 and len(taken) > 120
