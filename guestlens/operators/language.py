@@ -10,6 +10,7 @@ from guestlens.operators.joins import join_totals
 
 # Letters of a gram; a word begins and ends with a space.
 GRAM = 3
+NOT_LETTERS = r"[^\p{L}]+"
 
 
 def with_language(
@@ -34,7 +35,7 @@ def keep_language(
 
 
 def _word_counts(df: DataFrame, text: str, by: list[str]) -> DataFrame:
-    words = F.split(F.lower(F.col(text)), r"[^\p{L}]+")
+    words = F.split(F.lower(F.col(text)), NOT_LETTERS)
     found = df.select(*by, F.explode(words).alias("word")).where(F.col("word") != "")
     return found.groupBy(*by, "word").agg(F.count("*").alias("n"))
 
@@ -72,7 +73,7 @@ def with_gram_language(
     ``key`` is unique. The confidence is the probability of the likeliest
     language given the grams. Profiles are a landed table with one column per
     language after the pivot, whose names are the only thing that is collected. Texts
-    and profiles meet by gram: each text's distinct grams are joined with one row per gram.
+    and profiles meet by gram: each gram of each text is joined with one row per gram.
     """
     langs = sorted(r[0] for r in profiles.where("gram IS NULL").select("lang").collect())
     if not langs:
@@ -81,9 +82,10 @@ def with_gram_language(
     wide = profiles.where("gram IS NOT NULL").groupBy("gram").pivot("lang", langs).agg(F.first("weight")).toDF("gram", *names)
     unseen = profiles.where("gram IS NULL").groupBy().pivot("lang", langs).agg(F.first("weight")).toDF(*[f"u{i}" for i in range(len(langs))])
     unseen = unseen.select(F.array(*unseen.columns)).scalar()
-    grams = _word_counts(df.select(key, text), text, [key]).select(key, F.explode(_grams(F.col("word"))).alias("gram"), "n")
-    grams = grams.groupBy(key, "gram").agg(F.sum("n").alias("n")).join(wide, "gram", "left")
-    sums = grams.groupBy(key).agg(*[F.sum(F.col("n") * F.coalesce(c, F.get(unseen, F.lit(i)))).alias(c) for i, c in enumerate(names)])
+    # Sums are over occurrences, so nothing is counted per text before: such counts of a task would outgrow its memory.
+    words = F.filter(F.split(F.lower(F.col(text)), NOT_LETTERS), lambda w: w != "")
+    grams = df.select(key, F.explode(F.flatten(F.transform(words, _grams))).alias("gram")).join(wide, "gram", "left")
+    sums = grams.groupBy(key).agg(*[F.sum(F.coalesce(c, F.get(unseen, F.lit(i)))).alias(c) for i, c in enumerate(names)])
     scores = F.array(*[F.struct(F.col(c).alias("score"), F.lit(lang).alias("lang")) for c, lang in zip(names, langs)])
     best = sums.select(key, scores.alias("_s"), F.array_max(scores).alias("_best"))
     odds = F.aggregate("_s", F.lit(0.0), lambda acc, s: acc + F.exp(s["score"] - F.col("_best.score")))

@@ -138,3 +138,14 @@ def test_gram_language_of_odd_rows(spark):
     assert got == {1: "aa", 2: "bb", 3: None, 4: None, 5: None}
     nothing = materialize(language.gram_profiles(labelled.limit(0)), "profiles")
     assert language.with_gram_language(rows, nothing, "id").where("language IS NOT NULL").count() == 0
+
+
+def test_gram_languages_count_nothing_per_text(spark):
+    """Repeated grams weigh as often as they stand; the only group is the text, whose state has a fixed size."""
+    profiles = language.gram_profiles(spark.createDataFrame([("the cat sat", "en"), ("le chat dort", "fr")], "text string, lang string"))
+    profiles = materialize(profiles, "test-profiles")
+    rows = spark.createDataFrame([(1, "the the the le"), (2, "le le chat the"), (3, ""), (4, None)], "id long, title string")
+    found = language.with_gram_language(rows, profiles, "id")
+    assert {r.id: r.language for r in found.collect()} == {1: "en", 2: "fr", 3: None, 4: None}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate [id" in line and "gram" in line.split("]")[0]]
