@@ -1,5 +1,6 @@
 """Classifiers as tables, the forest's bounded width, the comparison, and languages of short texts."""
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,6 +141,18 @@ def test_gram_language_of_odd_rows(spark):
     assert language.with_gram_language(rows, nothing, "id").where("language IS NOT NULL").count() == 0
 
 
+def test_a_city_of_texts_is_read_by_many_tasks(spark, sf, monkeypatch):
+    """Row groups have the size asked for, so files of one city are split."""
+    monkeypatch.setattr(queries, "TEXT_ROW_GROUP", 1 << 10, raising=False)
+    rows = spark.read.parquet(f"{sf}/documents.parquet").limit(1).crossJoin(spark.range(2000))
+    rows = rows.select(F.col("id").alias("doc_id"), F.concat("text", F.col("id").cast("string")).alias("text"), F.lit("source5").alias("source"), "lang")
+    monkeypatch.setattr(queries.views, "table", lambda *_: rows.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")))
+    monkeypatch.setattr(queries.views, "documents", lambda *_: rows)
+    files = queries._text_rows(spark, sf).inputFiles()
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in files]
+    assert sum(g.num_rows for g in groups) == 2000 and sum(g.num_row_groups for g in groups) > 5 * len(files)
+
+
 def test_gram_languages_count_nothing_per_text(spark):
     """Repeated grams weigh as often as they stand; the only group is the text, whose state has a fixed size."""
     profiles = language.gram_profiles(spark.createDataFrame([("the cat sat", "en"), ("le chat dort", "fr")], "text string, lang string"))
