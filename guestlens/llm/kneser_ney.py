@@ -104,9 +104,8 @@ def count_grams(
     return materialize(found.groupBy("key").agg(F.sum("n").alias("n")), label)
 
 
-def _discounts(counts: DataFrame) -> tuple[float, float, float]:
-    """The discounts of counts 1, 2 and 3 or more, from the numbers of such counts."""
-    found = dict(counts.where("n <= 4").groupBy("n").count().collect())
+def discounts(found: dict[int, int]) -> tuple[float, float, float]:
+    """The discounts of counts 1, 2 and 3 or more, from how many grams have the counts 1 to 4."""
     n1, n2, n3, n4 = (float(found.get(i, 0)) for i in range(1, 5))
     if not n1 or not n2 or not n3:
         return 0.5, 0.75, 0.9
@@ -116,6 +115,10 @@ def _discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, LEAST_DISCOUNT), float(i)) for i, d in enumerate(found, 1))
 
 
+def _discounts(counts: DataFrame) -> tuple[float, float, float]:
+    return discounts(dict(counts.where("n <= 4").groupBy("n").count().collect()))
+
+
 def _discount(n: Column, d: tuple[float, float, float]) -> Column:
     return F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
 

@@ -2,7 +2,10 @@
 
 The n-grams of all texts are counted, and each gets its probability by joins with
 the counts of every order, all of them Spark tables that grow with the input: no
-table is collected, and no task holds one.
+table is collected, and no task holds one. The grams are dealt to shards by their
+middle word, so that a shard has whatever stands before or after a pair of words
+that it has a gram of. Shards take turns on the disk: a first round counts what all of
+them have to know, the words and how many grams have which count, a second scores.
 A word is a 32-bit hash of its bytes, so of ten million different words one in
 four hundred shares its hash with another.
 """
@@ -10,6 +13,7 @@ four hundred shares its hash with another.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,14 +21,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guestlens.llm import hashing
-from guestlens.llm.common import materialize, slices
-from guestlens.llm.kneser_ney import _discounts
+from guestlens.llm.common import landed, materialize, slices
+from guestlens.llm.kneser_ney import discounts
 
 ORDER = 3
 # The words of a gram, the last one at the end; 0 stands before a text's first word.
 GRAM = [f"w{i}" for i in range(ORDER)]
 # The texts are dealt to two folds by their hash.
 FOLDS = (0, 1)
+# The grams of texts of so many bytes are a shard, up to so many shards.
+SHARD_BYTES, SHARDS = 1 << 23, 8
 # Negative log probabilities are added up in such parts, as whole numbers, so their order does not count.
 PARTS = 1_000_000
 
@@ -35,74 +41,150 @@ def ids(w: hashing.Words) -> np.ndarray:
     return np.where(found == 0, np.int32(1), found)
 
 
-def _cut(kept: list[str]):
+def _cut(kept: list[str], shard: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             w = hashing.words(batch.column("text"))
             word, text = ids(w), w.text_of()
             place = np.arange(len(word)) - w.first[:-1][text]
-            columns = {c: batch.column(c).take(pa.array(text)) for c in kept}
-            for i, name in enumerate(GRAM):
-                back = ORDER - 1 - i
+            gram = []
+            for back in reversed(range(ORDER)):
                 before = np.zeros(len(word), np.int32)
                 before[back:] = word[: len(word) - back]
-                columns[name] = pa.array(np.where(place >= back, before, np.int32(0)))
-            yield pa.RecordBatch.from_pydict(columns)
+                gram.append(np.where(place >= back, before, np.int32(0)))
+            own = np.flatnonzero(gram[1].view(np.uint32) % np.uint32(shards) == shard)
+            columns = {c: batch.column(c).take(pa.array(text[own])) for c in kept}
+            yield pa.RecordBatch.from_pydict(columns | {name: pa.array(w[own]) for name, w in zip(GRAM, gram)})
 
     return run
 
 
-def _grams(rows: DataFrame, kept: list[str]) -> DataFrame:
-    """One row per word of the texts: the columns ``kept`` and the gram that ends there."""
+def _grams(rows: DataFrame, kept: list[str], shard: int, shards: int) -> DataFrame:
+    """One row per word of the texts whose gram is of the shard: the columns ``kept`` and the gram that ends there."""
     schema = ", ".join([f"{c} long" for c in kept] + [f"{c} int" for c in GRAM])
-    return rows.select(*kept, "text").mapInArrow(_cut(kept), schema)
+    return rows.select(*kept, "text").mapInArrow(_cut(kept, shard, shards), schema)
+
+
+def _shards(rows: DataFrame) -> int:
+    return min(SHARDS, 1 + (rows.select(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES)
 
 
 def _fold() -> Column:
     return F.pmod("text_hash", F.lit(len(FOLDS)))
 
 
-def count_grams(rows: DataFrame, known: Column, label: str) -> DataFrame:
-    """(w0, w1, w2, n0, n1): every gram of the texts, and how often it stands in the ``known`` ones of each fold."""
-    learned = rows.withColumn("_fold", F.when(known, _fold()).otherwise(F.lit(-1)).cast("long"))
-    counts = [F.count_if(F.col("_fold") == k).alias(f"n{k}") for k in FOLDS]
-    return materialize(_grams(learned, ["_fold"]).groupBy(*GRAM).agg(*counts), label)
+def _in_folds() -> list[Column]:
+    return [F.count_if(F.col("_fold") == k).alias(f"n{k}") for k in FOLDS]
+
+
+def _different() -> list[Column]:
+    return [F.count_if(F.col(f"n{k}") > 0).alias(f"n{k}") for k in FOLDS]
+
+
+def _counts_of_counts(order: int) -> list[Column]:
+    return [F.count_if(F.col(f"n{k}") == i).alias(f"c{order}_{k}_{i}") for k in FOLDS for i in range(1, 5)]
+
+
+def _sums_of_counts(order: int) -> list[Column]:
+    return [F.sum(name).alias(name) for name in (f"c{order}_{k}_{i}" for k in FOLDS for i in range(1, 5))]
+
+
+def _count_words(learned: DataFrame, shard: int, shards: int) -> DataFrame:
+    """(w2, n0, n1, c3_.., c2_..): different words before a word in the shard, and how many grams that end so have which count."""
+    # By the pair that ends a gram, so both of the next aggregates find their rows together.
+    grams = _grams(learned, ["_fold"], shard, shards).repartition(*GRAM[1:]).groupBy(*GRAM).agg(*_in_folds())
+    pairs = grams.groupBy(*GRAM[1:]).agg(*_different(), *_counts_of_counts(3))
+    return pairs.groupBy(GRAM[2]).agg(*_different(), *_sums_of_counts(3), *_counts_of_counts(2))
+
+
+def _learn(learned: DataFrame, shards: int, label: str) -> tuple[DataFrame, dict[int, list]]:
+    """(w2, n0, n1) of every learned word, and the discounts by order and fold."""
+    found = {}
+
+    def make() -> DataFrame:
+        spark = learned.sparkSession
+        parts = [landed(spark, "shard-words", lambda: _count_words(learned, shard, shards)) for shard in range(shards)]
+        words = reduce(DataFrame.unionAll, parts)
+        words = words.groupBy(GRAM[2]).agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in FOLDS], *_sums_of_counts(3), *_sums_of_counts(2))
+        words = materialize(words, "words")
+        sums = words.agg(*_sums_of_counts(3), *_sums_of_counts(2), *_counts_of_counts(1)).first()
+        for order in range(1, ORDER + 1):
+            found[order] = [discounts({i: sums[f"c{order}_{k}_{i}"] or 0 for i in range(1, 5)}) for k in FOLDS]
+        return words.select(GRAM[2], *[f"n{k}" for k in FOLDS])
+
+    return landed(learned.sparkSession, label, make), found
+
 
+def _sums() -> list[Column]:
+    """Of a context: all counts, and how many grams have the counts 1, 2 and more; whole numbers, so the order of rows does not count."""
+    out = []
+    for k in FOLDS:
+        n = F.col(f"n{k}")
+        out += [F.sum(n).alias(f"total{k}"), F.count_if(n == 1).alias(f"one{k}"), F.count_if(n == 2).alias(f"two{k}"), F.count_if(n > 2).alias(f"more{k}")]
+    return out
 
-def probabilities(counts: DataFrame, label: str) -> DataFrame:
-    """(w0, w1, w2, p0, p1) of every gram of ``counts``: ``p0`` by the model that learns from ``n0``, ``p1`` from ``n1``.
 
-    The highest order uses the counts; each lower one the number of different
+def _probabilities(d: list) -> list[Column]:
+    """The probability ``p`` in each fold from the count, the sums of the context and the probability ``q`` without the first word."""
+    out = []
+    for k in FOLDS:
+        n, total, q = F.col(f"n{k}"), F.col(f"total{k}"), F.col(f"q{k}")
+        off = F.when(n == 0, 0.0).when(n == 1, d[k][0]).when(n == 2, d[k][1]).otherwise(d[k][2])
+        mass = F.col(f"one{k}") * d[k][0] + F.col(f"two{k}") * d[k][1] + F.col(f"more{k}") * d[k][2]
+        out.append(F.when(total > 0, (n - off + mass * q) / total).otherwise(q).cast("float").alias(f"p{k}"))
+    return out
+
+
+def _as_lower(p: DataFrame) -> DataFrame:
+    return p.withColumnsRenamed({f"p{k}": f"q{k}" for k in FOLDS})
+
+
+def _of_words(words: DataFrame, d: list) -> tuple[DataFrame, list[Column]]:
+    """(w2, p0, p1) of every learned word, and the probabilities of any other.
+
+    Below is the even distribution over the learned words and one more.
+    """
+    totals = words.agg(*_sums())
+    for k in FOLDS:
+        totals = totals.withColumn(f"q{k}", 1 / (F.col(f"one{k}") + F.col(f"two{k}") + F.col(f"more{k}") + 1))
+    none = totals.select("*", *[F.lit(0).alias(f"n{k}") for k in FOLDS]).select(*_probabilities(d)).first()
+    return words.crossJoin(F.broadcast(totals)).select(GRAM[2], *_probabilities(d)), [F.lit(x).cast("float") for x in none]
+
+
+def _pairs(grams: DataFrame, words: DataFrame, other: list[Column], d: list) -> DataFrame:
+    """(w1, w2, q0, q1): the probabilities of the pairs that end the shard's grams."""
+    pairs = materialize(grams.groupBy(*GRAM[1:]).agg(*_different()), "shard-pairs")
+    joined = pairs.join(_keyed(pairs.groupBy(GRAM[1]).agg(*_sums())), GRAM[1]).join(_keyed(words), GRAM[2], "left")
+    joined = joined.withColumns({f"q{k}": F.coalesce(f"p{k}", other[k]) for k in FOLDS})
+    return _as_lower(joined.select(*GRAM[1:], *_probabilities(d)))
+
+
+def _of_grams(placed: DataFrame, words: DataFrame, other: list[Column], d: dict[int, list]) -> DataFrame:
+    """(w0, w1, w2, p0, p1) of every gram of the shard.
+
+    The highest order uses the counts; the one below the number of different
     words seen before a gram. A gram not learned has the weight of its context
-    times the probability without the first word; a context not learned has
-    weight 1. Below all is the even distribution over the learned words and one more.
+    times the probability without the first word; a context not learned has weight 1.
     """
-    levels = [counts]
-    for order in range(ORDER - 1, 0, -1):
-        words = GRAM[ORDER - order :]
-        different = [F.count_if(F.col(f"n{k}") > 0).alias(f"n{k}") for k in FOLDS]
-        levels.append(materialize(levels[-1].groupBy(*words).agg(*different), f"{label}-n{order}"))
-    below = None
-    for order, level in enumerate(reversed(levels), 1):
-        words = GRAM[ORDER - order :]
-        sums, found = [], []
-        for k in FOLDS:
-            d = _discounts(level.select(F.col(f"n{k}").alias("n")).where("n > 0"))
-            n, total, q = F.col(f"n{k}"), F.col(f"total{k}"), F.col(f"q{k}")
-            # Whole numbers, so the order of rows does not count.
-            sums += [F.sum(n).alias(f"total{k}"), F.count_if(n == 1).alias(f"one{k}"), F.count_if(n == 2).alias(f"two{k}"), F.count_if(n > 2).alias(f"more{k}")]
-            off = F.when(n == 0, 0.0).when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
-            mass = F.col(f"one{k}") * d[0] + F.col(f"two{k}") * d[1] + F.col(f"more{k}") * d[2]
-            found.append(F.when(total > 0, (n - off + mass * q) / total).otherwise(q).cast("float").alias(f"p{k}"))
-        if order == 1:
-            joined = level.crossJoin(F.broadcast(level.agg(*sums)))
-            for k in FOLDS:
-                joined = joined.withColumn(f"q{k}", 1 / (F.col(f"one{k}") + F.col(f"two{k}") + F.col(f"more{k}") + 1))
-        else:
-            joined = level.join(level.groupBy(*words[:-1]).agg(*sums), words[:-1])
-            joined = joined.join(below.withColumnsRenamed({f"p{k}": f"q{k}" for k in FOLDS}), words[1:])
-        below = materialize(joined.select(*words, *found), f"{label}-p{order}")
-    return below
+    grams = materialize(placed.groupBy(*GRAM).agg(*_in_folds()), "shard-grams")
+    lower = landed(placed.sparkSession, "shard-lower", lambda: _pairs(grams, words, other, d[2]))
+    joined = grams.join(_keyed(grams.groupBy(*GRAM[:2]).agg(*_sums())), GRAM[:2]).join(_keyed(lower), GRAM[1:])
+    return joined.select(*GRAM, *_probabilities(d[3]))
+
+
+def _keyed(table: DataFrame) -> DataFrame:
+    """A table with one row per key, so joins may hash it, part by part, and sort nothing."""
+    return table.hint("shuffle_hash")
+
+
+def _score(rows: DataFrame, words: DataFrame, other: list[Column], d: dict[int, list], shard: int, shards: int) -> DataFrame:
+    """(text_hash, parts, n): the parts of negative log probabilities that the shard's grams add to a text, and their number."""
+    placed = materialize(_grams(rows, ["text_hash", "_fold"], shard, shards), "shard-places")
+    table = landed(rows.sparkSession, "shard-p", lambda: _of_grams(placed, words, other, d))
+    p = F.when(_fold() == 0, F.col("p1")).otherwise(F.col("p0"))
+    part = F.round(-F.ln(p) * PARTS).cast("long")
+    scored = placed.select("text_hash", *GRAM).join(_keyed(table), GRAM)
+    return scored.groupBy("text_hash").agg(F.sum(part).alias("parts"), F.count("*").alias("n"))
 
 
 def perplexities(rows: DataFrame, known: Column, label: str) -> DataFrame:
@@ -112,8 +194,15 @@ def perplexities(rows: DataFrame, known: Column, label: str) -> DataFrame:
     texts to two folds; each is scored by the model of the other fold, so that none, nor a copy of it,
     is judged by what was learned from itself. Null and empty texts have no row.
     """
-    table = probabilities(count_grams(rows, known, f"{label}-grams"), label)
-    other = F.when(_fold() == 0, F.col("p1")).otherwise(F.col("p0"))
-    part = F.round(-F.ln(other) * PARTS).cast("long")
-    found = _grams(rows, ["text_hash"]).join(table, GRAM).groupBy("text_hash")
-    return materialize(found.agg((F.sum(part) / F.count("*") / PARTS).alias("word_log_perplexity")), f"{label}-perplexities")
+    spark, shards = rows.sparkSession, _shards(rows)
+    marked = rows.withColumn("_fold", F.when(known, _fold()).otherwise(F.lit(-1)).cast("long"))
+
+    def make() -> DataFrame:
+        counts, d = _learn(marked.where("_fold >= 0"), shards, "word-counts")
+        words, other = _of_words(counts, d[1])
+        words = materialize(words, "word-p")
+        parts = [landed(spark, "shard-scores", lambda: _score(marked, words, other, d, shard, shards)) for shard in range(shards)]
+        found = reduce(DataFrame.unionAll, parts).groupBy("text_hash")
+        return found.agg((F.sum("parts") / F.sum("n") / PARTS).alias("word_log_perplexity"))
+
+    return landed(spark, f"{label}-perplexities", make)

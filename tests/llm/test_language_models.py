@@ -228,6 +228,25 @@ def test_word_perplexities_against_brute_force(spark):
             assert got[t] == pytest.approx(want[t], rel=1e-5), t
 
 
+def test_grams_are_held_shard_by_shard(spark, monkeypatch):
+    """No table has all grams at once, and the shards add up to what one shard finds."""
+    draw = np.random.default_rng(6)
+    texts = [" ".join(f"w{i}" for i in draw.integers(0, 60, 200)) for _ in range(40)]
+    rows = spark.createDataFrame([(t,) for t in [*texts, texts[0], "", None]], "text string").withColumn("text_hash", F.xxhash64("text"))
+    known = F.xxhash64("text", F.lit(1)) % 3 != 0
+    whole = sorted(map(tuple, word_model.perplexities(rows, known, "one-shard").collect()))
+    held = Counter()
+    write = word_model.materialize
+    monkeypatch.setattr(word_model, "SHARD_BYTES", 1)
+    monkeypatch.setattr(word_model, "SHARDS", 4)
+    monkeypatch.setattr(word_model, "materialize", lambda df, label: held.update([(label, (out := write(df, label)).count())]) or out)
+    parts = sorted(map(tuple, word_model.perplexities(rows, known, "shards").collect()))
+    assert parts == whole and len(whole) == len(texts)
+    grams = [n for label, n in held.elements() if label == "shard-grams"]
+    different = {tuple(g) for t in texts for g in zip(["", "", *t.split()], ["", *t.split()], t.split())}
+    assert len(grams) == 4 and sum(grams) == len(different) and max(grams) < len(different) / 2
+
+
 @pytest.fixture(scope="module")
 def chains(spark, tmp_path_factory):
     """Sentences whose words follow each other in few ways, and the same words out of order."""
