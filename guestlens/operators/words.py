@@ -113,23 +113,18 @@ def _forms(stems: DataFrame, by: list[str], suffix: str) -> DataFrame:
 def likelihood_ratio(c12: Column, c1: Column, c2: Column, n: Column) -> Column:
     """Dunning's ratio for two words being neighbours more often than by chance.
 
-    Bound to one struct of counts, the formula stays small when the optimizer
-    copies it into a filter.
+    A plain expression, without a lambda function, so Spark compiles it.
     """
 
     def log_l(k: Column, m: Column, x: Column) -> Column:
         tiny = F.lit(1e-10)
         return F.ln(F.greatest(x, tiny)) * k + F.ln(F.greatest(1 - x, tiny)) * (m - k)
 
-    def ratio(counts: Column) -> Column:
-        k, a, b, total = (counts[name] for name in ("c12", "c1", "c2", "n"))
-        apart = F.nullif(total - a, F.lit(0))
-        p, p1, p2 = b / total, k / a, (b - k) / apart
-        chance = log_l(k, a, p) + log_l(b - k, apart, p)
-        found = log_l(k, a, p1) + log_l(b - k, apart, p2)
-        return F.when((total <= a) | (total <= b), 0.0).otherwise(-2 * (chance - found))
-
-    return bind(F.struct(c12.alias("c12"), c1.alias("c1"), c2.alias("c2"), n.alias("n")), ratio)
+    apart = F.nullif(n - c1, F.lit(0))
+    p, p1, p2 = c2 / n, c12 / c1, (c2 - c12) / apart
+    chance = log_l(c12, c1, p) + log_l(c2 - c12, apart, p)
+    found = log_l(c12, c1, p1) + log_l(c2 - c12, apart, p2)
+    return F.when((n <= c1) | (n <= c2), 0.0).otherwise(-2 * (chance - found))
 
 
 def _scored_pairs(df: DataFrame, text: str, by: list[str], stop_words) -> DataFrame:

@@ -461,3 +461,21 @@ def test_vocabulary_is_the_frequent_terms(spark):
 def test_empty_tokens_are_terms(spark):
     df = spark.createDataFrame([(1, "positive", "good  stay")], "comment_id long, review string, review_text string")
     assert rows(sentiment.class_term_counts(df), "term") == [("",), ("good",), ("stay",)]
+
+
+def test_likelihood_ratio_is_compiled(spark):
+    """No lambda function in it, which Spark would interpret for each pair of words."""
+    counts = [(5, 10, 8, 100), (1, 1, 1, 1), (3, 3, 3, 50), (2, 40, 9, 41)]
+    ratio = words.likelihood_ratio(*[F.col(c) for c in ("c12", "c1", "c2", "n")])
+    df = spark.createDataFrame(counts, "c12 long, c1 long, c2 long, n long").select("*", ratio.alias("ratio"))
+    assert "lambda" not in df._jdf.queryExecution().executedPlan().toString()
+
+    def log_l(k, m, x):
+        return log(max(x, 1e-10)) * k + log(max(1 - x, 1e-10)) * (m - k)
+
+    for k, a, b, n, got in df.collect():
+        want = 0.0
+        if n > a and n > b:
+            p, p1, p2 = b / n, k / a, (b - k) / (n - a)
+            want = -2 * (log_l(k, a, p) + log_l(b - k, n - a, p) - log_l(k, a, p1) - log_l(b - k, n - a, p2))
+        assert got == pytest.approx(want, abs=1e-9)
