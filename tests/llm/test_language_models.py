@@ -247,6 +247,33 @@ def test_grams_are_held_shard_by_shard(spark, monkeypatch):
     assert len(grams) == 4 and sum(grams) == len(different) and max(grams) < len(different) / 2
 
 
+def test_frequent_words_are_spread_over_cells(spark, monkeypatch):
+    """No cell has all grams of a word or of a pair of words that stands everywhere; the results are those of one cell."""
+    draw = np.random.default_rng(7)
+    texts = [" ".join(draw.choice(["in", "the", "in the", *(f"w{i}" for i in range(300))], 120, p=[0.1, 0.1, 0.2, *[0.002] * 300])) for _ in range(60)]
+    rows = spark.createDataFrame([(t,) for t in [*texts, texts[0], "", None]], "text string").withColumn("text_hash", F.xxhash64("text"))
+    known = F.xxhash64("text", F.lit(1)) % 3 != 0
+    whole = sorted(map(tuple, word_model.perplexities(rows, known, "one-cell").collect()))
+    deals, largest = [], []
+    make, write = word_model._deal, word_model.materialize
+
+    def watch(df, label):
+        out = write(df, label)
+        if label == "shard-grams":
+            largest.extend(r["count"] for r in out.groupBy("cell").count().collect())
+        return out
+
+    monkeypatch.setattr(word_model, "CELL_BYTES", 2048)
+    monkeypatch.setattr(word_model, "SHARD_BYTES", 1 << 13)
+    monkeypatch.setattr(word_model, "_deal", lambda rows: deals.append(make(rows)) or deals[-1])
+    monkeypatch.setattr(word_model, "materialize", watch)
+    parts = sorted(map(tuple, word_model.perplexities(rows, known, "cells").collect()))
+    assert parts == whole and len(whole) == len(texts)
+    assert len(deals[0].words) >= 2 and len(deals[0].pairs) >= 1
+    grams = [g for t in texts for g in zip(["", "", *t.split()], ["", *t.split()], t.split())]
+    assert max(largest) < max(Counter(g[1] for g in set(grams)).values())
+
+
 @pytest.fixture(scope="module")
 def chains(spark, tmp_path_factory):
     """Sentences whose words follow each other in few ways, and the same words out of order."""
