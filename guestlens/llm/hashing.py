@@ -79,6 +79,14 @@ def words(column: pa.Array) -> Words:
     return Words(data, starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets))
 
 
+def distinct(w: Words) -> tuple[list[bytes], np.ndarray]:
+    """The different words, and which of them each word is."""
+    data, ends = w.data[~_SPACE[w.data]], np.concatenate([[0], np.cumsum(w.ends - w.starts)])
+    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
+    coded = pa.Array.from_buffers(pa.large_binary(), len(w.starts), buffers).dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+
+
 def word_hashes(w: Words, lower: bool = False) -> np.ndarray:
     """A 64-bit hash of each word; ``lower`` takes A-Z as a-z."""
     table = _BYTE[_LOWER] if lower else _BYTE

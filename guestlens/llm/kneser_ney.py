@@ -9,20 +9,20 @@ that word alone.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from guestlens.llm import hashing
 from guestlens.llm.common import materialize, slices
 
 ORDER, BITS = 4, 6
 CLASSES = 1 << BITS
 LEAST_DISCOUNT = 0.1
-_FLUSH = 200_000  # distinct words that a counting task holds
+_FLUSH = 1_000_000  # counts of grams that a counting task holds
 _CACHE = 400_000  # words whose probability a scoring task remembers
 
 
@@ -52,11 +52,11 @@ def _class_table() -> np.ndarray:
 _CLASS = _class_table()
 
 
-def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The 4-gram that ends at each symbol of the words, and the word it stands in."""
-    pad = "\0" * (ORDER - 1)
-    joined = pad + pad.join(w.replace("\0", "\1") for w in words) + "\0"
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    pad = b"\0" * (ORDER - 1)
+    joined = pad + b"\n".join(words).replace(b"\0", b"\1").replace(b"\n", pad) + b"\0"
+    codes = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32)
     symbols = np.where(codes < len(_CLASS), _CLASS[np.minimum(codes, len(_CLASS) - 1)], 42 + codes % 22).astype(np.int64)
     key = symbols.copy()
     for back in range(1, ORDER):
@@ -69,35 +69,39 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return key[at], word
 
 
-def _counts(admit: Callable[[bytes, list[bytes]], bool] | None):
-    def flush(seen: Counter) -> pa.RecordBatch:
-        key, word = grams([w.decode() for w in seen])
-        times = np.fromiter(seen.values(), np.int64, len(seen))[word]
-        order = np.argsort(key, kind="stable")
-        key, times = key[order], times[order]
+def _counts(admit: Callable[[bytes, Sized], bool] | None):
+    def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        # Keys have 24 bits, the times that a word stands in a part of the texts fewer than 39.
+        both = np.sort(np.concatenate([key << 39 | times for key, times in held]))
+        key, times = both >> 39, both & ((1 << 39) - 1)
         head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
         sums = np.add.reduceat(times, head) if len(head) else times
         return pa.RecordBatch.from_pydict({"key": pa.array(key[head]), "n": pa.array(sums)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held, size = [], 0
         for batch in slices(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                raw = (text or "").encode()
-                words = raw.split()
-                if admit is None or admit(raw, words):
-                    seen.update(words)
-                if len(seen) > _FLUSH:
-                    yield flush(seen)
-                    seen = Counter()
-        if seen:
-            yield flush(seen)
+            w = hashing.words(batch.column("text"))
+            words, at = hashing.distinct(w)
+            if admit is not None:
+                texts = zip(batch.column("text").to_pylist(), w.counts.tolist())
+                at = at[np.repeat([admit((text or "").encode(), range(n)) for text, n in texts], w.counts)]
+            times = np.bincount(at, minlength=len(words))
+            key, word = grams(words)
+            seen = times[word] > 0
+            held.append((key[seen], times[word][seen]))
+            size += len(held[-1][0])
+            if size > _FLUSH:
+                yield flush(held)
+                held, size = [], 0
+        if held:
+            yield flush(held)
 
     return run
 
 
 def count_grams(
-    texts: DataFrame, label: str, admit: Callable[[bytes, list[bytes]], bool] | None = None
+    texts: DataFrame, label: str, admit: Callable[[bytes, Sized], bool] | None = None
 ) -> DataFrame:
     """(key, n): how often each 4-gram stands in all the texts, or in those that ``admit`` takes."""
     found = texts.select("text").mapInArrow(_counts(admit), "key long, n long")
@@ -226,17 +230,19 @@ class Scorer:
     def __init__(self, model: HashArrays | Table) -> None:
         self.model, self.known = model, {}
 
-    def texts(self, texts: list[list[bytes]]) -> list[float]:
-        """The log probability of each text, given by its words."""
+    def texts(self, w: hashing.Words) -> np.ndarray:
+        """The log probability of each text."""
         if len(self.known) > _CACHE:
             self.known.clear()
-        new = list({w for words in texts for w in words if w not in self.known})
+        words, at = hashing.distinct(w)
+        new = [word for word in words if word not in self.known]
         for a in range(0, len(new), 50_000):
             part = new[a : a + 50_000]
-            key, word = grams([w.decode() for w in part])
+            key, word = grams(part)
             logs = np.bincount(word, np.log(self.model.p(key)), len(part))
             self.known.update(zip(part, logs.tolist()))
-        return [sum(map(self.known.__getitem__, words)) for words in texts]
+        logs = np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
+        return np.bincount(w.text_of(), logs[at], len(w.first) - 1)
 
 
 def fences(scores: DataFrame, group: str, value: str, reach: float, least: int = 50) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guestlens.llm import kneser_ney, word_model
+from guestlens.llm import hashing, kneser_ney, word_model
 from guestlens.llm.common import join_small, materialize, slices
 
 REACH, WORD_REACH = 6.0, 3.0
@@ -18,9 +19,12 @@ def _score(model: kneser_ney.Table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = kneser_ney.Scorer(model)
         for batch in slices(batches, "text"):
-            words = [(t or "").encode().split() for t in batch.column("text").to_pylist()]
-            symbols = [sum(len(w.decode()) + 1 for w in own) for own in words]
-            logs = scorer.texts(words)
+            w = hashing.words(batch.column("text"))
+            # The characters of words and an end of each.
+            chars = np.concatenate([[0], np.cumsum((w.data & 0xC0) != 0x80)])
+            chars = np.concatenate([[0], np.cumsum(chars[w.ends] - chars[w.starts] + 1)])
+            symbols = (chars[w.first[1:]] - chars[w.first[:-1]]).tolist()
+            logs = scorer.texts(w).tolist()
             yield pa.RecordBatch.from_pydict({
                 "text_hash": batch.column("text_hash"),
                 "doc_id": batch.column("doc_id"),

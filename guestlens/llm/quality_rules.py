@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sized
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ _CAPITALS = bytes(range(65, 91))
 MOST_SYMBOLS, MOST_CAPITALS = 2, 15
 
 
-def is_prose(text: bytes, words: list[bytes]) -> bool:
+def is_prose(text: bytes, words: Sized) -> bool:
     symbols = len(text) - len(text.translate(None, _SYMBOLS))
     capitals = len(text) - len(text.translate(None, _CAPITALS))
     return len(words) >= LEAST_WORDS and 100 * symbols <= MOST_SYMBOLS * len(text) and 100 * capitals <= MOST_CAPITALS * len(text)
@@ -44,9 +44,8 @@ def _repeated(w: hashing.Words) -> np.ndarray:
     twice = np.zeros(len(at), bool)
     twice[order[1:]] = same
     twice[order[:-1]] |= same
-    change = np.zeros(len(text) + WINDOW + 1, np.int32)
-    np.add.at(change, at[twice], 1)
-    np.add.at(change, at[twice] + WINDOW, -1)
+    change = np.bincount(at[twice], minlength=len(text) + WINDOW + 1)
+    change -= np.bincount(at[twice] + WINDOW, minlength=len(change))
     inside = np.cumsum(change)[: len(text)] > 0
     return np.bincount(text[inside], minlength=len(counts))
 
@@ -56,15 +55,14 @@ def _measure(model: kneser_ney.HashArrays):
         scorer = kneser_ney.Scorer(model)
         for batch in slices(batches, "text"):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            words = [t.split() for t in texts]
-            logs = scorer.texts(words)
+            w = hashing.words(batch.column("text"))
             rows = []
-            for text, own, log in zip(texts, words, logs):
+            for text, own, log in zip(texts, w.counts.tolist(), scorer.texts(w).tolist()):
                 chars = len(text.translate(None, _SPACE).decode())
                 lines = [line for line in text.split(b"\n") if line.strip(_SPACE)]
                 symbols = len(text) - len(text.translate(None, _SYMBOLS))
-                score = -log / (chars + len(own)) if own else None
-                rows.append((len(own), chars, symbols, len(lines) - len(set(lines)), score))
+                score = -log / (chars + own) if own else None
+                rows.append((own, chars, symbols, len(lines) - len(set(lines)), score))
             n, chars, symbols, lines, score = zip(*rows)
             yield pa.RecordBatch.from_pydict({
                 "text_hash": batch.column("text_hash"),
@@ -74,7 +72,7 @@ def _measure(model: kneser_ney.HashArrays):
                 "word_chars": pa.array(chars, pa.int64()),
                 "n_symbols": pa.array(symbols, pa.int64()),
                 "n_dup_lines": pa.array(lines, pa.int64()),
-                "n_repeat_words": pa.array(_repeated(hashing.words(batch.column("text")))),
+                "n_repeat_words": pa.array(_repeated(w)),
                 "log_perplexity": pa.array(score, pa.float64()),
             })
 
