@@ -41,17 +41,18 @@ def join_small(
     """Join rows to a table with one row per key.
 
     The table is counted first; keys may repeat in it if there is no salt. Up to ``most`` rows it is broadcast. Beyond
-    that both sides are shuffled. Where keys repeat in ``rows`` and may be hot,
-    the table is then repeated once per salt, and rows pick a salt by ``spread``,
+    that both sides are shuffled, whatever size Spark expects: it takes a table for as large as its
+    compressed files, and no larger when it is repeated. Where keys repeat in ``rows`` and may be hot,
+    the table is repeated once per salt, and rows pick a salt by ``spread``,
     a number that differs between rows of one key.
     """
     if small.count() <= most:
         return rows.join(F.broadcast(small), keys, how)
     if spread is None:
-        return rows.join(small, keys, how)
+        return rows.join(small.hint("merge"), keys, how)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(spread, F.lit(SALTS)).cast("int")
-    return rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"], how).drop("_salt")
+    return rows.withColumn("_salt", salt).join(salted.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

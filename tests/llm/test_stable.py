@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from guestlens import session
 from guestlens.llm import jaccard, licenses, repeats, templates
-from guestlens.llm.common import read
+from guestlens.llm.common import join_small, read
 from tests.llm.test_llm import ODD, SCHEMA
 
 CORES = "spark.sql.leafNodeDefaultParallelism"
@@ -96,3 +96,19 @@ def test_repeated_rows_leave_one(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(path)
     out = jaccard.one_of_each(spark.read.parquet(path)).groupBy("doc_id").agg(F.count("*").alias("n")).collect()
     assert dict(map(tuple, out)) == {1: 1, 9: 2}
+
+
+@pytest.mark.parametrize("salted", [False, True])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_large_tables_are_not_broadcast(spark, how, salted):
+    """Not even where Spark takes them for small: it does not know that they are repeated once per salt."""
+    small = spark.range(0, 300, 2).select(F.col("id").alias("key"), F.lit(1).alias("x"))
+    small = session.materialize(small if how in ("inner", "left") else small.drop("x"), "small")
+    rows = session.materialize(spark.range(5000).select((F.col("id") % 500).alias("key"), F.col("id").alias("_row")), "rows")
+    spread = F.xxhash64("_row") if salted else None
+    joined = join_small(rows, small, ["key"], how, spread, most=100)
+    want = rows.join(small, ["key"], how)
+    assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" in join_small(rows, small, ["key"], how, spread, most=150)._jdf.queryExecution().executedPlan().toString()
