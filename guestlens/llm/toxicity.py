@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guestlens.llm.common import join_small, materialize, slices
@@ -23,6 +23,8 @@ LEVEL = 19
 TOXIC_BYTES, ORDINARY_BYTES = (1024, 4096), 32_768
 # A window is one word, written so often that the compressor looks for matches.
 REPEAT = 4
+# Hashes are counted in so many buckets to find where a top-k is full.
+_BUCKET_BITS = 14
 _MARKS = b".,!?;:|\"'()[]#*$%&<>"
 _CACHE = 300_000
 
@@ -152,6 +154,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
+def _first(rows: DataFrame, order: list[Column], most: int, label: str) -> DataFrame:
+    """The ``most`` rows that come first by ``order``, whose first column is a hash; written in that order.
+
+    A plain top-k would send so many rows of every partition, with their texts, to one place. So the
+    bucket of hashes at which it is full is looked up first, and only rows up to there are sorted.
+    """
+    bucket = F.shiftright(order[0], 64 - _BUCKET_BITS).cast("int")
+    reached, cut = 0, None
+    for upto, n in sorted(rows.groupBy(bucket.alias("bucket")).count().collect()):
+        reached += n
+        if reached >= most:
+            cut = upto
+            break
+    if cut is not None:
+        rows = rows.where(bucket <= cut)
+    return materialize(rows.orderBy(*order).limit(most), label)
+
+
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document.
 
@@ -172,18 +192,19 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     learn = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~is_held_out())
     learn = materialize(learn.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "toxic-labels")
     labelled = materialize(
-        join_small(rows, learn, ["doc_id"], "inner", F.col("_row")).select("doc_id", "text", "toxic"), "toxic-texts"
+        join_small(rows, learn, ["doc_id"], "inner", F.col("_row")).select("doc_id", "text", "toxic", F.length("text").alias("chars")), "toxic-texts"
     )
     totals = dict(labelled.groupBy("toxic").count().collect())
     if not totals.get(0) or not totals.get(1):
         share = 1.0 if totals.get(1) else 0.0
         return _result(rows.select("doc_id"), F.lit(share))
 
-    short = labelled.where(F.length("text") <= SAMPLE_CHARS)
+    short = labelled.where(F.col("chars") <= SAMPLE_CHARS)
     samples = []
     for label, most in ((1, TOXIC_DOCS), (0, ORDINARY_DOCS)):
-        chosen = short.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(most)
-        samples.append([r[0] for r in chosen.select("text").collect()])
+        order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
+        chosen = _first(short.where(F.col("toxic") == label), order, most, "toxic-sample")
+        samples.append([r[0] for r in chosen.orderBy(*order).select("text").collect()])
     dictionaries = train_dictionaries(*samples)
 
     found = labelled.select("text", "toxic").mapInArrow(_cells(dictionaries), "toxic int, cell long")
@@ -195,8 +216,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ratios = dict(counts.select("cell", ratio).collect())
     schema = "doc_id long, _row long, first double, second double, size double"
     measure = _features(dictionaries, ratios, 0.0)
-    sample = labelled.where(F.col("text").isNotNull()).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(CALIBRATION_DOCS)
-    sample = materialize(sample.select("doc_id", "text", F.col("toxic").cast("long").alias("_row")), "toxic-calibration")
+    worded = labelled.where(F.col("chars").isNotNull()).select("doc_id", "text", F.col("toxic").cast("long").alias("_row"))
+    sample = _first(worded, [F.xxhash64("doc_id", F.lit(1)), F.col("doc_id")], CALIBRATION_DOCS, "toxic-calibration")
     fit = sample.mapInArrow(measure, schema).toPandas()
     weights = _logistic(fit[["first", "second", "size"]].to_numpy(), (fit["_row"] == 1).to_numpy(float))
     linear = sum(F.col(c) * F.lit(float(w)) for c, w in zip(("first", "second", "size"), weights)) + F.lit(float(weights[-1]))

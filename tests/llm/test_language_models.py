@@ -138,6 +138,30 @@ def test_compressed_lengths_are_those_of_the_library():
     assert min(cell & 255, cell >> 8 & 255) < cell >> 16 & 255
 
 
+def test_the_first_rows_are_cut_off_before_they_are_sorted(spark, monkeypatch):
+    """As a plain top-k gives them; few more than are asked for meet in one place, whatever the number of partitions."""
+    rows = spark.range(0, 20_000, 1, 16).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 7).alias("text"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
+    sorted_, limit = [], toxicity.materialize
+    monkeypatch.setattr(toxicity, "materialize", lambda df, label: sorted_.append(df) or limit(df, label))
+    for most in (1, 500, 19_999, 30_000):
+        got = toxicity._first(rows, order, most, "first").orderBy(*order).collect()
+        assert got == rows.orderBy(*order).limit(most).collect()
+    plan = sorted_[1]._jdf.queryExecution().optimizedPlan()
+    assert "Filter" in plan.toString() and toxicity._first(rows.limit(0), order, 5, "first").count() == 0
+
+
+def test_toxicity_samples_are_all_that_the_driver_gets(spark, tmp_path, monkeypatch):
+    """Each selection of texts by hash is cut off first."""
+    docs = spark.createDataFrame([(i, "blargh snorf" if i % 4 == 0 else f"river mill {i}") for i in range(120)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id long, toxic int")
+    asked, first = [], toxicity._first
+    monkeypatch.setattr(toxicity, "_first", lambda rows, order, most, label: asked.append(most) or first(rows, order, most, label))
+    assert toxicity.score(spark.read.parquet(str(tmp_path / "documents.parquet")), marks).count() == 120
+    assert asked == [toxicity.TOXIC_DOCS, toxicity.ORDINARY_DOCS, toxicity.CALIBRATION_DOCS]
+
+
 def test_toxicity_scores_against_brute_force(spark, tmp_path):
     """Cells counted once per document, their ratios, and the logistic curve over the two largest."""
     draw = np.random.default_rng(2)
