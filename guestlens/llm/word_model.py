@@ -400,11 +400,14 @@ def _score(deal: _Deal, learned: _Learned):
 
 
 def _scored(marked: DataFrame, deal: _Deal, learned: _Learned, words: DataFrame, shard: int) -> DataFrame:
-    """(text_hash, parts, n) of the texts by the grams of a shard."""
+    """(text_hash, parts, n) of the texts by the grams of a shard.
+
+    Words and pairs grow with the texts and are many times their files' size in memory, so neither is broadcast.
+    """
     grams = learned.grams[shard]
-    asked = grams.where("word IS NOT NULL").select("cell", "word").join(words, "word")
+    asked = grams.where("word IS NOT NULL").select("cell", "word").join(words.hint("merge"), "word")
     known = asked.select("cell", F.lit(False).alias("pair"), F.lit(0).alias("w1"), F.col("word").alias("w2"), *[F.col(f"p{k}").cast("double").alias(f"x{k}") for k in FOLDS])
-    asked = grams.where("w1 IS NOT NULL").select("cell", "w1", "w2").join(learned.pairs, ["w1", "w2"])
+    asked = grams.where("w1 IS NOT NULL").select("cell", "w1", "w2").join(learned.pairs.hint("merge"), ["w1", "w2"])
     known = known.unionAll(asked.select("cell", F.lit(True), "w1", "w2", *[F.col(n).cast("double") for n in _N]))
     placed = _dealt(marked, deal, shard, True).groupBy("cell")
     scored = placed.cogroup(known.groupBy("cell")).applyInArrow(_score(deal, learned), "text_hash long, parts long, n long")

@@ -271,6 +271,23 @@ def test_grams_are_held_shard_by_shard(spark, monkeypatch):
     assert len(grams) == 4 and sum(grams) == len(different) and max(grams) < len(different) / 2
 
 
+def test_words_and_pairs_are_not_broadcast(spark, monkeypatch):
+    """Their tables grow with the texts, and Spark takes them for as small as their files."""
+    draw = np.random.default_rng(8)
+    texts = [" ".join(draw.choice(["in", "the", *(f"w{i}" for i in range(300))], 120, p=[0.2, 0.2, *[0.002] * 300])) for _ in range(60)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("text_hash", F.xxhash64("text"))
+    monkeypatch.setattr(word_model, "CELL_BYTES", 2048)
+    plans, score = [], word_model._scored
+
+    def watch(*a):
+        plans.append((out := score(*a))._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(word_model, "_scored", watch)
+    assert word_model.perplexities(rows, F.lit(True), "plans").count() == len(texts)
+    assert plans and not any("Broadcast" in p for p in plans) and all(p.count("SortMergeJoin") >= 2 for p in plans)
+
+
 def test_frequent_words_are_spread_over_cells(spark, monkeypatch):
     """No cell has all grams of a word or of a pair of words that stands everywhere; the results are those of one cell."""
     draw = np.random.default_rng(7)
