@@ -208,8 +208,11 @@ class _Texts:
 
 
 def _verified(pairs: DataFrame, texts: _Texts) -> DataFrame:
-    """Those of the pairs (a, b) whose sets link, by their whole sets."""
-    sets = materialize(texts.sets(_ends(pairs, "needed-rows")), "sets")
+    """Those of the pairs (a, b) whose sets link, by their whole sets.
+
+    Sets of near copies are many times their files' size in memory, so they are not broadcast.
+    """
+    sets = materialize(texts.sets(_ends(pairs, "needed-rows")), "sets").hint("merge")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("_a")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("members").alias("_b")), "b"
     )
@@ -378,7 +381,7 @@ def _stars(hits: DataFrame, leaders: DataFrame, found: DataFrame, turn: int) ->
 def _by_prefix(pairs: DataFrame, worded: DataFrame) -> DataFrame:
     """Pairs whose prefixes share as many shingles as linked sets do at least."""
     own = join_small(worded.select("_row", "n", "prefix"), _ends(pairs, "prefix-rows"), ["_row"], "left_semi")
-    own = materialize(own.withColumnRenamed("_row", "node"), "prefix-own")
+    own = materialize(own.withColumnRenamed("_row", "node"), "prefix-own").hint("merge")
     both = pairs.join(own.select(F.col("node").alias("a"), F.col("n").alias("_n"), F.col("prefix").alias("_p")), "a").join(
         own.select(F.col("node").alias("b"), F.col("n").alias("_m"), F.col("prefix").alias("_q")), "b"
     )

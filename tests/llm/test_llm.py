@@ -6,6 +6,7 @@ import re
 import textwrap
 import zlib
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from guestlens.llm import (
-    components, jaccard, kneser_ney, licenses, mixing, quality_model, quality_rules, queries, repeats, sharding,
+    common, components, jaccard, kneser_ney, licenses, mixing, quality_model, quality_rules, queries, repeats, sharding,
     templates, tokens, toxicity,
 )
 
@@ -323,6 +324,27 @@ def test_near_copies_meet_at_the_text_they_were_made_of(spark, tmp_path, monkeyp
     assert got == {0} and left == [0]
 
 
+def test_sets_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Whole sets, prefixes and what is repeated per salt meet by key: Spark takes them for smaller than they are."""
+    monkeypatch.setattr(jaccard, "join_small", partial(common.join_small, most=2))
+    words = [f"w{k}" for k in range(60)]
+    pairs = [(i, " ".join([*words[:i], f"own{i}", *words[i:]])) for i in range(30)] + [(99, "something else that nobody has said yet")]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(pairs, "doc_id long, text string").write.parquet(path)
+    plans, write, prefix, land = [], jaccard.materialize, jaccard._by_prefix, jaccard.landed
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(jaccard, "materialize", lambda df, label: write(watched(df) if label == "links" else df, label))
+    monkeypatch.setattr(jaccard, "_by_prefix", lambda *a: watched(prefix(*a)))
+    monkeypatch.setattr(jaccard, "landed", lambda spark, label, make: land(spark, label, (lambda: watched(make())) if label == "near-duplicates" else make))
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(spark.read.parquet(path)).collect()}
+    assert got == {i: i if i == 99 else 0 for i, _ in pairs}
+    assert len(plans) > 3 and not any("Broadcast" in p for p in plans)
+
+
 def test_prefix_bound():
     """Linked sets share as many prefix shingles as the bound says, at all sizes."""
     draw = np.random.default_rng(1)
