@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guestlens.llm import hashing, kneser_ney, word_model
-from guestlens.llm.common import join_small, materialize, slices
+from guestlens.llm.common import BROADCAST_ROWS, join_small, materialize, slices
 
 REACH, WORD_REACH = 6.0, 3.0
 
@@ -56,11 +56,13 @@ def classify(docs: DataFrame, trusted: DataFrame, reach: float = REACH, word_rea
     rows = docs.select("doc_id", "text", "lang", F.xxhash64("text").alias("text_hash"))
     spread = F.xxhash64("doc_id", "text_hash")
     listed = materialize(trusted.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "trusted")
-    known = join_small(rows, listed, ["doc_id"], "left_semi", spread)
-    model = kneser_ney.train(kneser_ney.count_grams(known, "trusted-grams"), "trusted-model")
+    marked = join_small(rows, listed.withColumn("_known", F.lit(True)), ["doc_id"], "left", spread)
+    if listed.count() > BROADCAST_ROWS:
+        # The texts are shuffled once, not each time that they are read.
+        marked = materialize(marked, "marked-texts")
+    model = kneser_ney.train(kneser_ney.count_grams(marked.where("_known"), "trusted-grams"), "trusted-model")
     asked = kneser_ney.count_grams(rows, "corpus-grams")
     table = kneser_ney.Table(materialize(kneser_ney.probabilities(asked, model), "corpus-p"))
-    marked = join_small(rows, listed.withColumn("_known", F.lit(True)), ["doc_id"], "left", spread)
     words = word_model.perplexities(marked, F.col("_known").isNotNull(), "trusted-words")
     schema = "text_hash long, doc_id long, lang string, n_symbols long, log_perplexity double"
     scored = materialize(rows.mapInArrow(_score(table), schema), "scores")

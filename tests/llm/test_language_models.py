@@ -2,13 +2,14 @@
 
 import math
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from guestlens.llm import kneser_ney, quality_model, quality_rules, toxicity, word_model
+from guestlens.llm import common, kneser_ney, quality_model, quality_rules, toxicity, word_model
 
 TEXTS = [
     (1, "the cat sat on the mat. The cat, the CAT!", "en"), (2, "a dog and 12 cats sat", "en"), (3, "le chat été noir", "fr"),
@@ -271,6 +272,21 @@ def test_grams_are_held_shard_by_shard(spark, monkeypatch):
     assert len(grams) == 4 and sum(grams) == len(different) and max(grams) < len(different) / 2
 
 
+def test_many_trusted_texts_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """With more trusted ids than are broadcast, texts meet them in one query, and the scores are the same."""
+    draw = np.random.default_rng(9)
+    texts = [(i % 50, " ".join(draw.choice(" ".join(PROSE).split(), 30)), "en") for i in range(60)] + [(None, "the cat", None), (3, "", "en")]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    docs, trusted = spark.read.parquet(str(tmp_path / "documents.parquet")), spark.range(30).toDF("doc_id")
+    want = sorted(map(tuple, quality_model.classify(docs, trusted).collect()), key=str)
+    labels, write = [], quality_model.materialize
+    monkeypatch.setattr(quality_model, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(quality_model, "join_small", partial(common.join_small, most=10))
+    monkeypatch.setattr(quality_model, "materialize", lambda df, label: labels.append(label) or write(df, label))
+    assert sorted(map(tuple, quality_model.classify(docs, trusted).collect()), key=str) == want and len(want) == len(texts)
+    assert labels.count("marked-texts") == 1
+
+
 def test_words_and_pairs_are_not_broadcast(spark, monkeypatch):
     """Their tables grow with the texts, and Spark takes them for as small as their files."""
     draw = np.random.default_rng(8)
