@@ -2,6 +2,7 @@
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from guestlens.catalog import queries, views
@@ -79,6 +80,37 @@ def test_forest_is_narrow_and_better_than_the_majority(spark, reviews):
         assert right > 1.2 * max(positive, n - positive)
 
 
+@pytest.fixture
+def fitted(monkeypatch):
+    """What forests are fitted to: the number of rows, and of rows that are looked at for thresholds."""
+    seen, fit = [], RandomForestClassifier._fit
+
+    def recorded(self, rows):
+        seen.append((n := rows.count(), min(n, max(self.getMaxBins() ** 2, sentiment.SPLIT_ROWS))))
+        return fit(self, rows)
+
+    monkeypatch.setattr(RandomForestClassifier, "_fit", recorded)
+    return seen
+
+
+def test_forest_learns_from_every_row(spark, reviews, fitted, monkeypatch):
+    """A bound on its rows, which there was, samples nothing; thresholds are looked for in all rows."""
+    monkeypatch.setattr(sentiment, "FOREST_ROWS", 50, raising=False)
+    train = materialize(recommend.training_rows(reviews, "A"), "train")
+    n = train.count()
+    sentiment.fit(train, "rf", numTrees=1, maxDepth=1)
+    assert fitted == [(n, n)] and n > 100
+    many = train.crossJoin(spark.range(10_001 // n + 1)).withColumn("comment_id", F.monotonically_increasing_id())
+    sentiment.fit(materialize(many, "many"), "rf", numTrees=1, maxDepth=1, vocab_size=4)
+    assert fitted[1] == (many.count(),) * 2 and fitted[1][0] > 10_000
+
+
+def test_forest_is_compared_on_every_row(reviews, fitted, monkeypatch):
+    monkeypatch.setattr(sentiment, "FOREST_ROWS", 50, raising=False)
+    compare.compare_models(reviews, "A", ["rf"], {"rf": {"numTrees": 1, "maxDepth": 1}}).collect()
+    assert fitted == [(compare.evaluation_sets(reviews, "A")[compare.TRAINING].count(),) * 2] and fitted[0][0] > 100
+
+
 def test_compare_models(spark, reviews):
     options = {"rf": {"numTrees": 5, "maxDepth": 4}}
     rows = compare.compare_models(reviews, "A", options=options).collect()
